@@ -84,23 +84,23 @@ class Lattice:
         cls = lambda cs: "[" + "".join(re.escape(c) for c in cs) + "]"
         self.pattern = re.compile(f"{cls(leads3)}{cls(tails)}{cls(tails)}|{cls(leads2)}{cls([*tails, ' '])}") if leads2 and leads3 and tails else None
 
-    def decode(self, text: str) -> str | None:
-        """``text`` with all UTF-8 sequences decoded, or None without any."""
+    def decode(self, text: str) -> tuple[str, int] | None:
+        """``text`` with all UTF-8 sequences decoded and the number of characters they took, or None without any."""
         if not self.pattern:
             return None
-        found = False
+        used = 0
 
         def one(m: re.Match) -> str:
-            nonlocal found
+            nonlocal used
             s = m.group()
             c = self._char(s)
             if c is None:
                 return s
-            found = True
+            used += sum(1 for x in s if ord(x) > 127)
             return c
 
         out = self.pattern.sub(one, text)
-        return out if found else None
+        return (out, used) if used else None
 
     @lru_cache(maxsize=20_000)  # noqa: B019
     def _char(self, s: str) -> str | None:
@@ -149,12 +149,12 @@ def decode_utf8(text: str) -> tuple[str, str] | None:
     for _ in range(4):
         best = None
         for name, lattice in lattices():
-            out = lattice.decode(text)
-            if out is not None and not _mixed(text, out):
-                score = sum(1 for c in out if ord(c) > 127)
-                rare = sum(1 for c in out if c in _RARE_PLAUSIBLE or unicodedata.category(c) in ("Cc", "So", "Sm"))
-                if best is None or (rare, score) < best[0]:
-                    best = ((rare, score), out, name)
+            hit = lattice.decode(text)
+            if hit is not None and not _mixed(text, hit[0]):
+                # the encoding that explains most characters; then the one that leaves fewest rare ones
+                score = (-hit[1], sum(1 for c in hit[0] if c in _RARE_PLAUSIBLE or unicodedata.category(c) in ("Cc", "So", "Sm")))
+                if best is None or score < best[0]:
+                    best = (score, hit[0], name)
         if best is None:
             break
         text, first = best[1], first or best[2]
@@ -208,7 +208,7 @@ def candidates(token: str) -> list[tuple[str, str]]:
     for channel, table in _confusions():
         if all(ord(c) < 128 or ord(c) in table or c in "\u2019\u201c\u201d" for c in token):
             c = token.translate(table)
-            if c not in seen and any(x.isalpha() and ord(x) > 127 for x in c):
+            if c not in seen and any(x.isalpha() and ord(x) > 127 for x in c) and all(a == b or b.isalpha() or b in "\u2019\u201c\u201d\u2013\u20ac" for a, b in zip(token, c)):
                 seen.add(c)
                 out.append((channel, c))
     return out
@@ -245,6 +245,8 @@ def viterbi(tokens: list[tuple[str, float, list[tuple[str, str, float]]]]) -> li
     best: dict[str, tuple[float, list]] = {"clean": (0.0, [])}
     for token, own, options in tokens:
         new: dict[str, tuple[float, list]] = {}
+        if not any(c.isalpha() for c in token):
+            options = []
         for channel, text, gain in [("clean", None, own - oddness(token)), *options]:
             arrive = max(((s - (0 if state in (channel, "clean") and channel != "clean" and state == channel else SWITCH if channel != "clean" else 0), p) for state, (s, p) in best.items()), key=lambda x: x[0])
             score = arrive[0] + gain
@@ -254,6 +256,10 @@ def viterbi(tokens: list[tuple[str, float, list[tuple[str, str, float]]]]) -> li
     return max(best.values(), key=lambda x: x[0])[1]
 
 
+#: Values whose words are left out of the corpus frequencies, since they plainly hold misread bytes.
+_DAMAGED = "[\\x80-\\x9f\\ufffd]|[\u00c3\u00e3\u00c2\u00e2\u0102\u0103\u0412\u0432\u0413\u0433\u251c\u221a\u0393\u201a][^\\x00-\\x7f\\p{L}]|&#[0-9]+;"
+
+
 def word_counts(values: Column, table: DataFrame) -> DataFrame:
     """(word, n) of all corpus words that hold a letter outside ASCII."""
     return table.select(F.explode(F.regexp_extract_all(values, F.lit("(" + FOREIGN_WORD + ")"), F.lit(1))).alias("w")).groupBy(F.lower("w").alias("word")).agg(F.count(F.lit(1)).alias("n"))
@@ -299,7 +305,7 @@ def find_damage(table: DataFrame, key: str, fields: list[str]) -> DataFrame:
                 for channel, c in candidates(t):
                     ws = words_of(c)
                     if ws:
-                        out.append((t, channel, c, ws[0], None))
+                        out.append((t, channel, c, max(ws, key=len), None))
                 if _LOST.search(t):
                     out.append((t, "lost", None, None, skeleton(_LOST.sub("\ufffd", t))))
             if out:
@@ -307,15 +313,15 @@ def find_damage(table: DataFrame, key: str, fields: list[str]) -> DataFrame:
 
     tokens = read.select(F.explode("tokens").alias("token")).distinct()
     proposals = cut_lineage(tokens.mapInArrow(propose, "token string, channel string, candidate string, word string, skeleton string"))
-    counts = word_counts(F.col("value"), values)
+    counts = word_counts(F.col("value"), values.where(~F.col("value").rlike(_DAMAGED)))
     wanted_words = proposals.where("word is not null").select("word").distinct()
     wanted_skeletons = proposals.where("skeleton is not null").select("skeleton").distinct()
     keyed = counts.withColumn("skeleton", F.regexp_replace("word", "[^\\x00-\\x7f]+", "?"))
     known = cut_lineage(keyed.join(wanted_words.withColumn("a", F.lit(True)), "word", "left").join(wanted_skeletons.withColumn("b", F.lit(True)), "skeleton", "left").where("a or b"))
     by_word = proposals.where("word is not null").join(known.select("word", "n"), "word", "left").select("token", "channel", "candidate", F.coalesce("n", F.lit(0)).alias("n"))
     # of each skeleton the commonest word is enough: it is the best path through the wildcard
-    fits = known.where("b").where(~F.col("word").rlike("[\\ufffd\\u00e3\\u00c3]")).groupBy("skeleton").agg(F.max_by("word", F.struct("n", "word")).alias("candidate"), F.max("n").alias("n"))
-    by_skeleton = proposals.where("skeleton is not null").join(fits, "skeleton").select("token", "channel", "candidate", "n")
+    fits = known.where("b").where(F.col("word").rlike("^[a-z\\u00df-\\u00f6\\u00f8-\\u00ff\\u0153]+$") & ~F.col("word").rlike("[\\u00e3]")).groupBy("skeleton").agg(F.max_by("word", F.struct("n", "word")).alias("candidate"), F.max("n").alias("n"))
+    by_skeleton = proposals.where("skeleton is not null").drop("candidate").join(fits, "skeleton").select("token", "channel", "candidate", "n")
     options = by_word.unionByName(by_skeleton).groupBy("token").agg(F.collect_list(F.struct("channel", "candidate", "n")).alias("options"))
     # the tokens of a value may be hot: both sides are salted
     salt = 8
@@ -335,11 +341,15 @@ def find_damage(table: DataFrame, key: str, fields: list[str]) -> DataFrame:
                     path.append((a["token"], math.log(own + 0.01), options))
                 chosen = viterbi(path)
                 changed = False
-                for (token, _, options), best in zip(path, chosen):
+                states = {next(o[0] for o in options if o[1] == best) for (_, _, options), best in zip(path, chosen) if best}
+                for (token, own, options), best in zip(path, chosen):
+                    if best is None and not any(c.isalpha() for c in token):  # signs follow the words around them
+                        best = next((o[1] for o in options if o[0] in states and o[2] > own), None)
                     if best is not None and best.lower() != token.lower():
                         changed = True
-                        text = text.replace(token, _cased(token, best))
-                        channel = channel or next(o[0] for o in options if o[1] == best)
+                        by = next(o[0] for o in options if o[1] == best)
+                        text = text.replace(token, _cased(token, best) if by == "lost" else best)
+                        channel = channel or by
                 if changed or channel:
                     keep.append(i)
                     texts.append(text)

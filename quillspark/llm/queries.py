@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,12 +20,49 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return cap_hosts(_table(spark, d, "fefe_training_data"), "row_id", "url", "quality_score", 50).where("not kept").select("row_id")
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    from quillspark.llm.encoding import find_damage
+
+    return find_damage(_table(spark, d, "externalsources"), "source_id", ["title", "description"]).select("source_id", "field_name")
+
+
+def p2_restored(spark: SparkSession, d: str) -> DataFrame:
+    from quillspark.llm.encoding import find_damage
+
+    return find_damage(_table(spark, d, "externalsources"), "source_id", ["title", "description"])
+
+
+def _p4_values(spark: SparkSession, d: str) -> DataFrame:
+    from quillspark.llm.residue import site_of, values_of
+
+    pages = values_of(_table(spark, d, "externalsources"), "externalsources", "source_id", ["title", "description"], site_of(F.col("url")))
+    return pages.unionByName(values_of(_table(spark, d, "fefe_training_data"), "fefe_training_data", "row_id", ["topic"], site_of(F.col("url"))))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    from quillspark.llm.residue import find_residue
+
+    return find_residue(_p4_values(spark, d)).select("table_name", "record_id", "field_name")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     from quillspark.llm.leaks import find_leaks
 
     return find_leaks(_table(spark, d, "documents"), "doc_id", "text", _table(spark, d, "benchmark_set"), "item_id", "target_comment", 12)
 
 
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    from quillspark.llm.mixing import mix
+
+    return mix(_table(spark, d, "documents"), "doc_id", "text", "source", _table(spark, d, "mix_targets"))[0]
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    from quillspark.llm.mixing import mix
+
+    return mix(_table(spark, d, "documents"), "doc_id", "text", "source", _table(spark, d, "mix_targets"))[1]
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     from quillspark.llm.stuffing import find_stuffed
 
@@ -32,7 +70,8 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p7_found": p7_found, "p9_found": p9_found}
+    named = [p1_found, p2_found, p2_restored, p4_found, p7_found, p8_mix, p8_shares, p9_found]
+    return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:

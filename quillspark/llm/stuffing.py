@@ -52,14 +52,10 @@ FUNCTION_WORDS = frozenset(
 )
 
 _LINK = re.compile(r"(?:https?:)?//\S+|www\.\S+|\]\([^()\s]*\)|\b[\w-]+(?:\.[\w-]+)*\.(?:example|test|invalid|com|org|net|de|info|eu)\b(?:/\S*)?", re.I)
+_DOT = re.compile(r"\.(?:example|test|invalid|com|org|net|de|info|eu)\b", re.I)
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _UNIT = re.compile(r"\n+|(?<=[.!?…])[\"”“»)]*\s+")
 _TAGS = re.compile(r"^\W*(?:tags?|keywords?|stichw(?:ö|oe)rter|schlagw(?:ö|oe)rter|labels?|mots-clés|etiquetas|trefwoorden)\s*:", re.I)
-_END = re.compile(r"[.!?…][\"”“»)\]]*$")
-
-
-def _words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
 
 
 class _Ids:
@@ -108,8 +104,8 @@ def corpus_counts(corpus: DataFrame, text: str) -> dict[str, np.ndarray]:
             gaps: list[int] = []
             for t in b.column(0).to_pylist():
                 if t:
-                    for line in _LINK.sub("\n", t).split("\n"):
-                        ws = _words(line)
+                    for line in (_LINK.sub("\n", t) if _may_link(t) else t).lower().split("\n"):
+                        ws = _WORD.findall(line)
                         if ws:
                             lines += ws
                             gaps.append(len(lines))
@@ -146,75 +142,99 @@ def _least(sketch: np.ndarray, h: np.ndarray, width: int) -> np.ndarray:
 
 
 class Scorer:
-    """Judges whole texts by the corpus counts."""
+    """Judges texts by the corpus counts, a batch of texts at a time."""
 
     def __init__(self, counts: dict[str, np.ndarray]) -> None:
         self.c, self.ids, self.total = counts, _Ids(), max(1.0, float(counts["total"][0]))
 
-    def units(self, text: str) -> list[dict]:
-        """The sentences and lines of ``text`` with what is known of each."""
-        out = []
-        everything: list[str] = []
-        for raw in _UNIT.split(text):
-            unit = raw.strip()
-            if not unit:
-                continue
-            rest = _LINK.sub(" ", unit)
-            ws = _words(rest)
-            out.append({"text": unit, "size": len(unit), "linked": len(unit) - len(rest) + rest.count("  "), "links": len(_LINK.findall(unit)), "words": ws, "from": len(everything)})
-            everything += ws
-        if everything:
-            h = self.ids(everything)
+    def judge(self, texts: list[str]) -> list[dict]:
+        """For each text: the stuffed share of its characters, the commonest kind, its mean PMI and repeated share."""
+        ws: list[str] = []
+        units: list[tuple] = []  # text, size, size of links, links, first word
+        first_unit = []
+        for text in texts:
+            first_unit.append(len(units))
+            for raw in _UNIT.split(text):
+                unit = raw.strip()
+                if unit:
+                    size = len(unit)
+                    if _may_link(unit):
+                        rest, links = _LINK.subn(" ", unit)
+                        units.append((unit, size, size - len(rest) + links, links, len(ws)))
+                        ws += _WORD.findall(rest.lower())
+                    else:
+                        units.append((unit, size, 0, 0, len(ws)))
+                        ws += _WORD.findall(unit.lower())
+        first_unit.append(len(units))
+        start = np.array([u[4] for u in units] + [len(ws)], np.int64)
+        n = np.diff(start)
+        info = np.zeros(len(ws) + 1)
+        if len(ws) > 1:
+            h = self.ids(ws)
             single = np.log(np.maximum(1, _least(self.c["words"], h, WORD_WIDTH)))
             pmi = np.log(np.maximum(1, _least(self.c["pairs"], _pairs(h[:-1], h[1:]), PAIR_WIDTH))) + math.log(self.total) - single[:-1] - single[1:]
-            total = np.concatenate([[0.0], np.cumsum(pmi)])
-        for u in out:
-            n, a = len(u["words"]), u["from"]
-            u["pmi"] = float(total[a + n - 1] - total[a]) / (n - 1) if n > 1 else 0.0
-            u["function"] = sum(w in FUNCTION_WORDS for w in u["words"]) / n if n else 0.0
+            info[1:-1] = np.cumsum(pmi)  # info[i]: sum of the pairs that begin before word i
+            info[-1] = info[-2]
+        known = FUNCTION_WORDS
+        function = np.zeros(len(ws) + 1, np.int64)
+        function[1:] = np.cumsum(np.fromiter((w in known for w in ws), np.int64, len(ws)))
+        within = np.where(n > 1, info[np.maximum(start[1:] - 1, start[:-1])] - info[start[:-1]], 0.0)
+        mean = within / np.maximum(1, n - 1)
+        share = (function[start[1:]] - function[start[:-1]]) / np.maximum(1, n)
+        out = []
+        for i in range(len(texts)):
+            a, b = first_unit[i], first_unit[i + 1]
+            covered, phrase = self.repeated(ws[start[a] : start[b]], start[a:b] - start[a])
+            size, bad = 0, {}
+            for k in range(a, b):
+                text, length, linked, links, at = units[k]
+                size += length
+                kind = _kind(text, length, linked, links, n[k], mean[k], share[k], ws[at : start[k + 1]] if phrase else (), phrase)
+                if kind:
+                    bad[kind] = bad.get(kind, 0) + length
+            pairs = int(np.maximum(0, n[a:b] - 1).sum())
+            out.append({"share": sum(bad.values()) / max(1, size), "kind": max(bad, key=lambda k: (bad[k], k)) if bad else None, "pmi": float(within[a:b].sum()) / max(1, pairs), "repeated": covered})
         return out
 
-    def repeated(self, units: list[dict]) -> tuple[float, tuple[str, ...]]:
-        """The phrase of two or three content words that covers most words of the text, and the share it covers."""
-        pairs: Counter = Counter()
-        n = 0
-        for u in units:
-            ws = u["words"]
-            n += len(ws)
-            pairs.update(p for p in zip(ws, ws[1:]) if p[0] not in FUNCTION_WORDS and p[1] not in FUNCTION_WORDS)
-            pairs.update((w,) for w in ws if w not in FUNCTION_WORDS)
-        if not n or not pairs:
+    @staticmethod
+    def repeated(ws: list[str], starts: np.ndarray) -> tuple[float, tuple[str, ...]]:
+        """The word or pair of content words that covers most words of a text, if it covers MOST_REPEATED of them.
+
+        A pair occurs at most as often as its words, so only texts with a frequent content word need their pairs counted.
+        """
+        if not ws:
             return 0.0, ()
-        best = max(pairs.items(), key=lambda x: (x[1] * len(x[0]), x[0]))
-        return best[1] * len(best[0]) / n, best[0]
-
-    def judge(self, text: str) -> dict:
-        units = self.units(text)
-        size = sum(u["size"] for u in units) or 1
-        share, phrase = self.repeated(units)
-        bad = {"links": 0, "salad": 0, "repeated": 0}
-        for u in units:
-            kind = self.kind(u, share, phrase)
-            if kind:
-                bad[kind] += u["size"]
-        n = sum(len(u["words"]) for u in units)
-        mean = sum(u["pmi"] * max(0, len(u["words"]) - 1) for u in units) / max(1, sum(max(0, len(u["words"]) - 1) for u in units))
-        return {"share": sum(bad.values()) / size, "kind": max(bad, key=lambda k: bad[k]) if any(bad.values()) else None, "pmi": mean, "repeated": share, "n": n}
-
-    def kind(self, u: dict, share: float, phrase: tuple[str, ...]) -> str | None:
-        ws, n = u["words"], len(u["words"])
-        sentence = bool(_END.search(u["text"])) and u["function"] >= LEAST_FUNCTION_SHARE
-        if share >= MOST_REPEATED and phrase and set(phrase) <= set(ws):
-            return "repeated"
-        if u["links"] and (n < 4 or (u["function"] < LEAST_FUNCTION_SHARE and not sentence) or u["linked"] > 3 * (u["size"] - u["linked"])):
-            return "links"
-        if n >= 3 and (_TAGS.match(u["text"]) or (u["function"] < LEAST_FUNCTION_SHARE and not sentence and (u["pmi"] < LEAST_PMI or _listed(u["text"], n)))):
-            return "salad"
-        if n >= 12 and u["function"] < MOST_FUNCTION_IN_LIST and _listed(u["text"], n):
-            return "salad"
-        if n and u["text"].count("#") >= max(2, n // 2):
-            return "salad"
-        return None
+        top = next(((w, c) for w, c in Counter(ws).most_common(40) if w not in FUNCTION_WORDS), None)
+        if not top or 2 * top[1] < MOST_REPEATED * len(ws):
+            return 0.0, ()
+        breaks = set(starts.tolist())
+        pairs = Counter(p for i, p in enumerate(zip(ws, ws[1:]), 1) if i not in breaks and p[0] not in FUNCTION_WORDS and p[1] not in FUNCTION_WORDS)
+        best = max(pairs.items(), key=lambda x: (x[1], x[0]), default=((), 0))
+        share, phrase = max((top[1] / len(ws), (top[0],)), (2 * best[1] / len(ws), best[0]))
+        return (share, phrase) if share >= MOST_REPEATED else (share, ())
+
+
+def _kind(text: str, size: int, linked: int, links: int, n: int, pmi: float, function: float, ws: list[str], phrase: tuple[str, ...]) -> str | None:
+    """links, salad or repeated if a unit is stuffed; None if it is a sentence, a heading or a name."""
+    if phrase and set(phrase) <= set(ws):
+        return "repeated"
+    few = function < LEAST_FUNCTION_SHARE
+    if links and (n < 4 or few or linked > 3 * (size - linked)):
+        return "links"
+    if n >= 3 and (few or text[0] in "TtKkSsLlMmEe") and _TAGS.match(text):
+        return "salad"
+    if n >= 3 and few and (pmi < LEAST_PMI or _listed(text, n)):
+        return "salad"
+    if n >= 12 and function < MOST_FUNCTION_IN_LIST and _listed(text, n):
+        return "salad"
+    if n and "#" in text and text.count("#") >= max(2, n // 2):
+        return "salad"
+    return None
+
+
+def _may_link(text: str) -> bool:
+    """Whether ``_LINK`` can match: a cheap test for the texts without links."""
+    return "//" in text or "www." in text.lower() or "](" in text or bool(_DOT.search(text))
 
 
 def _listed(text: str, n: int) -> bool:
@@ -234,9 +254,9 @@ def find_stuffed(corpus: DataFrame, key: str, text: str, most: float = 0.5) -> D
         scorer = Scorer(counts.value)
         for b in batches:
             keep, kinds, shares, pmis = [], [], [], []
-            for i, t in enumerate(b.column(1).to_pylist()):
-                if t:
-                    x = scorer.judge(t)
+            texts = b.column(1).to_pylist()
+            for at in range(0, len(texts), 500):
+                for i, x in enumerate(scorer.judge([t or "" for t in texts[at : at + 500]]), at):
                     if x["share"] > most:
                         keep.append(i)
                         kinds.append(x["kind"])
