@@ -45,6 +45,34 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return find_residue(_p4_values(spark, d)).select("table_name", "record_id", "field_name")
 
 
+def _p6_detected(spark: SparkSession, d: str) -> DataFrame:
+    from quillspark.llm.language import detect, fit, label_language, sample_texts
+    from quillspark.llm.residue import residue_rules
+
+    docs = _table(spark, d, "documents").select("doc_id", "text", "lang")
+    model = fit(sample_texts(docs, "doc_id", "text", "lang"))
+    pages = _table(spark, d, "externalsources").where(F.length(F.trim("description")) > 0).where(~residue_rules(F.col("description")))
+    pages = pages.select(F.lit("externalsources").alias("name"), F.col("source_id").alias("id"), F.col("description").alias("text"), label_language(F.col("lang")).alias("label"))
+    prefix = "^\\s*\\[Quelle:\\s*([^\\]]*)\\]\\s*"
+    rows = _table(spark, d, "fefe_training_data")
+    label = label_language(F.nullif(F.regexp_extract("context", prefix, 1), F.lit("")))
+    rows = rows.select(F.lit("fefe_training_data").alias("name"), F.col("row_id").alias("id"), F.regexp_replace("context", prefix, "").alias("text"), label.alias("label"))
+    return detect(pages.unionByName(rows.where(F.length(F.trim("text")) > 0)), model)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    from quillspark.llm.language import label_issues
+
+    detected = _p6_detected(spark, d).where("language is not null")
+    silent = F.col("name") == "fefe_training_data"
+    return label_issues(detected, silent, "de").select(F.col("name").alias("table_name"), F.col("id").alias("record_id"), "issue", "lang")
+
+
+def p6_segments(spark: SparkSession, d: str) -> DataFrame:
+    segment = F.posexplode("segments").alias("segment_no", "s")
+    return _p6_detected(spark, d).select(F.col("name").alias("table_name"), F.col("id").alias("record_id"), segment).select("table_name", "record_id", "segment_no", "s.segment", "s.language", "s.confidence")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     from quillspark.llm.leaks import find_leaks
 
@@ -70,7 +98,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = [p1_found, p2_found, p2_restored, p4_found, p7_found, p8_mix, p8_shares, p9_found]
+    named = [p1_found, p2_found, p2_restored, p4_found, p6_found, p6_segments, p7_found, p8_mix, p8_shares, p9_found]
     return {f.__name__: f for f in named}
 
 
