@@ -45,6 +45,12 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return find_residue(_p4_values(spark, d)).select("table_name", "record_id", "field_name")
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    from quillspark.llm.pairs import find_broken
+
+    return find_broken(_table(spark, d, "fefe_training_data"), "row_id", "topic", "context", "target_comment")
+
+
 def _p6_detected(spark: SparkSession, d: str) -> DataFrame:
     from quillspark.llm.language import detect, fit, label_language, sample_texts
     from quillspark.llm.residue import residue_rules
@@ -98,7 +104,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = [p1_found, p2_found, p2_restored, p4_found, p6_found, p6_segments, p7_found, p8_mix, p8_shares, p9_found]
+    named = [p1_found, p2_found, p2_restored, p4_found, p5_found, p6_found, p6_segments, p7_found, p8_mix, p8_shares, p9_found]
     return {f.__name__: f for f in named}
 
 
