@@ -32,6 +32,20 @@ def p2_restored(spark: SparkSession, d: str) -> DataFrame:
     return find_damage(_table(spark, d, "externalsources"), "source_id", ["title", "description"])
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    from quillspark.llm.markup import find_markup
+    from quillspark.llm.residue import site_of
+
+    return find_markup(_table(spark, d, "messages"), "message_id", "content", "contenthtml", site_of(F.col("url"))).select("message_id", "field_name", "markup")
+
+
+def p3_clean(spark: SparkSession, d: str) -> DataFrame:
+    from quillspark.llm.markup import clean_pages
+    from quillspark.llm.residue import site_of
+
+    return clean_pages(_table(spark, d, "messages"), "message_id", "content", "contenthtml", site_of(F.col("url")))
+
+
 def _p4_values(spark: SparkSession, d: str) -> DataFrame:
     from quillspark.llm.residue import site_of, values_of
 
@@ -104,7 +118,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = [p1_found, p2_found, p2_restored, p4_found, p5_found, p6_found, p6_segments, p7_found, p8_mix, p8_shares, p9_found]
+    named = [p1_found, p2_found, p2_restored, p3_found, p3_clean, p4_found, p5_found, p6_found, p6_segments, p7_found, p8_mix, p8_shares, p9_found]
     return {f.__name__: f for f in named}
 
 
