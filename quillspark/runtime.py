@@ -69,3 +69,12 @@ def ranked_in_groups(df: DataFrame, group: Sequence[str], order: Sequence[Column
     if value:
         out = out.withColumn("running_total", F.col("_run") + F.col("_vshift"))
     return out.drop("_piece", "_rank", "_shift", "_run", "_vshift")
+
+
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with the columns, each evaluated once however often it is used later.
+
+    The optimiser puts a projected expression wherever its column is used, which multiplies long chains; a generator of
+    one row is a border that it does not cross, and stays within the stage.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
