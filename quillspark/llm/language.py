@@ -33,6 +33,7 @@ TEMPERATURE = 4.0
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _BREAK = re.compile(r"(?:(?<=[.!?…])|(?<=[.!?…][\"”“’»)]))\s+|\s*\n+\s*|\s+(?:[|/•·]|--|//|–|—)\s+")
 _FOREIGN = re.compile("[^a-zß-öø-ÿœ'’]")
+_ODD = re.compile("[^\x00-\x7fäöüßÄÖÜéèêëàâáîïíìôóòùûúñçÉÀÈ¿–—‘’“”„€…]|&#?\\w+;")
 _QUOTED = re.compile(r"(?:motto|slogan|claim|titel|title)\s*:?\s*[\"„“«][^\"“”»]{1,60}[\"“”»]\.?", re.I)
 
 
@@ -175,7 +176,7 @@ def judge(text: str, model: PieceModel) -> tuple[str | None, float, list[tuple[s
 
     Neighbouring segments that are too short or too uncertain to vote take the language of the whole text.
     """
-    if any(ord(c) > 127 for c in text) or "&" in text:
+    if _ODD.search(text):
         hit = decode_utf8(text)
         text = hit[0] if hit else text
     text = _QUOTED.sub(" ", text)
@@ -244,7 +245,8 @@ def label_issues(detected: DataFrame, silent: Column, silent_language: str) -> D
     Where ``silent`` holds, a text in ``silent_language`` needs no label. Of a mixed text there is one row for each
     language of its segments and no other issue. Texts without a language are no cases.
     """
-    one = detected.where("language <> 'mixed'").where(~(silent & F.col("label").isNull() & (F.col("language") == silent_language)))
-    one = one.withColumn("issue", F.when(F.col("label").isNull(), "missing").when(F.col("label") != F.col("language"), "wrong")).where("issue is not null")
-    mixed = detected.where("language = 'mixed'").select("name", "id", F.lit("mixed").alias("issue"), F.explode(F.array_distinct(F.col("segments.language"))).alias("lang"))
-    return one.select("name", "id", "issue", F.col("language").alias("lang")).unionByName(mixed)
+    found = F.when(F.col("label").isNull(), F.when(~(silent & (F.col("language") == silent_language)), "missing")).when(F.col("label") != F.col("language"), "wrong")
+    issue = lambda kind, lang: F.struct(kind.alias("issue"), lang.alias("lang"))
+    mixed = F.transform(F.array_distinct(F.col("segments.language")), lambda x: issue(F.lit("mixed"), x))
+    rows = detected.where("language is not null").select("name", "id", F.explode(F.when(F.col("language") == "mixed", mixed).otherwise(F.array(issue(found, F.col("language"))))).alias("i"))
+    return rows.where("i.issue is not null").select("name", "id", "i.issue", "i.lang")
