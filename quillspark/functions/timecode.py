@@ -35,7 +35,7 @@ def months(spark: SparkSession, start: Column | str, end: Column | str, most: in
 
 def month_rows(bounds: DataFrame, start: str, end: str, most: int | None = None) -> DataFrame:
     first, last = F.trunc(F.col(start).cast("date"), "month"), F.trunc(F.col(end).cast("date"), "month")
-    ok = bounds.where(last >= first).select(F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("d")).select(F.date_format("d", "yyyyMM").alias("month"))
+    ok = bounds.where(last >= first).select(F.explode(F.sequence(first, F.greatest(first, last), F.expr("interval 1 month"))).alias("d")).select(F.date_format("d", "yyyyMM").alias("month"))
     return ok if most is None else ok.orderBy("month").limit(most)
 
 

@@ -31,7 +31,7 @@ def weighted_copies(bucket: Column, key: Column, seed: int) -> Column:
 def weighted_sample(rows: DataFrame, key: str, bucket: str, seed: int = 42, weighted: bool = True) -> DataFrame:
     """High rows three times, middle ones once, low ones with probability a half, others never; ``copy_no`` counts from 1."""
     n = weighted_copies(F.col(bucket), F.col(key), seed) if weighted else F.lit(1)
-    return rows.withColumn("copies", n).where("copies > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies")
+    return rows.withColumn("_copies", n).where("_copies > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies")
 
 
 def seeded_shuffle(rows: DataFrame, key: str, seed: int = 42) -> DataFrame:
@@ -59,8 +59,8 @@ def stratified(rows: DataFrame, key: str, bucket: str, context: str, seed: int =
     counts = tagged.groupBy(F.col("_b").alias("bucket")).agg(F.count_if("_f").alias("foreign"), F.count_if(~F.col("_f")).alias("german"))
     rank = F.row_number().over(Window.partitionBy("_b", "_f").orderBy(shuffle_key(F.col(key), seed), key))
     top = tagged.withColumn("_n", rank).where(F.col("_n") <= per_bucket)  # a group limit: each task passes on per_bucket rows at most
-    wanted = F.broadcast(quotas(counts, per_bucket, min_foreign))  # three rows
-    chosen = top.join(wanted, top["_b"] == wanted["bucket"]).where(F.col("_n") <= F.when(F.col("_f"), F.col("foreign_quota")).otherwise(F.col("german_quota")))
+    wanted = F.broadcast(quotas(counts, per_bucket, min_foreign).toDF("_qb", "_fq", "_gq"))  # three rows
+    chosen = top.join(wanted, F.col("_b") == F.col("_qb")).where(F.col("_n") <= F.when(F.col("_f"), F.col("_fq")).otherwise(F.col("_gq")))
     return chosen.select(*rows.columns)
 
 

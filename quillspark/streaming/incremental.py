@@ -29,5 +29,5 @@ def ingest_new_pages(spark: SparkSession, folder: str, out: str, checkpoint: str
 
 def totals(counts: DataFrame, key: str) -> DataFrame:
     """Counts by month with the grand total added."""
-    by_month = counts.select("bucket", key, "cnt")
+    by_month = counts.select(F.col("bucket").cast("string").alias("bucket"), key, "cnt")
     return by_month.unionByName(by_month.groupBy(key).agg(F.sum("cnt").alias("cnt")).select(F.lit("sum").alias("bucket"), key, "cnt"))
