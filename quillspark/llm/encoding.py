@@ -135,7 +135,7 @@ def _mixed(a: str, b: str) -> bool:
     """The words of the decoded text mix Latin letters with Cyrillic or Greek ones more than the text did."""
 
     def count(t: str) -> int:
-        return sum(1 for w in _WORDS.findall(t) if any("a" <= c.lower() <= "z" for c in w) and any(c in _RARE_PLAUSIBLE for c in w))
+        return sum(1 for w in _WORDS.findall(t) if any(c not in _RARE_PLAUSIBLE for c in w) and any(c in _RARE_PLAUSIBLE for c in w))
 
     return count(b) > count(a)
 
