@@ -34,7 +34,8 @@ SWITCH, ODD = 4.0, 9.0
 
 # Characters that decoded text may hold besides ASCII.
 _PLAUSIBLE = frozenset(
-    [chr(c) for c in range(0xA0, 0x180)] + list("\u0192\u0218\u0219\u021a\u021b\u2010\u2011\u2012\u2013\u2014\u2015\u2018\u2019\u201a\u201b\u201c\u201d\u201e\u201f\u2020\u2021\u2022\u2026\u2030\u2032\u2033\u2039\u203a\u20ac\u2122\u2190\u2191\u2192\u2193\u2212\u2260\u2264\u2265\u02c6\u02dc\ufeff\u200b\u00ad\ufb01\ufb02")
+    [chr(c) for c in range(0x80, 0x180)]  # the control characters stand in text that was damaged twice
+    + list("\u0192\u0218\u0219\u021a\u021b\u2010\u2011\u2012\u2013\u2014\u2015\u2018\u2019\u201a\u201b\u201c\u201d\u201e\u201f\u2020\u2021\u2022\u2026\u2030\u2032\u2033\u2039\u203a\u20ac\u2122\u2190\u2191\u2192\u2193\u2212\u2260\u2264\u2265\u02c6\u02dc\ufeff\u200b\u00ad\ufb01\ufb02")
     + [chr(c) for c in range(0x391, 0x3CA)]
     + [chr(c) for c in range(0x410, 0x450)]
 )
@@ -174,11 +175,15 @@ _TOKEN = re.compile(r"[^\s\"'()<>\[\]{}/|,;:!.\-\u2010-\u2015\u201e]+")
 _LOST = re.compile("[\ufffd\u00c3\u00e3\u0102\u251c\u221a]|(?<=[^\\W\\d_])\\?(?=[^\\W\\d_])")
 
 
+def _bare(token: str) -> str:
+    return token.strip("?\u2019\u2018\u201c\u201d\u2026")
+
+
 def odd_tokens(text: str) -> list[str]:
     """The tokens of a value that hold a character which may be damage, in order, without repetition."""
     out = {}
     for m in _TOKEN.finditer(text):
-        t = m.group().strip("?\u2019\u2018\u201c\u201d\u2026")
+        t = _bare(m.group())
         if t and (any(ord(c) > 127 for c in t) or "?" in t):
             out[t] = None
     return list(out)
@@ -208,7 +213,7 @@ def candidates(token: str) -> list[tuple[str, str]]:
     for channel, table in _confusions():
         if all(ord(c) < 128 or ord(c) in table or c in "\u2019\u201c\u201d" for c in token):
             c = token.translate(table)
-            if c not in seen and any(x.isalpha() and ord(x) > 127 for x in c) and all(a == b or b.isalpha() or b in "\u2019\u201c\u201d\u2013\u20ac" for a, b in zip(token, c)):
+            if c not in seen and any(x.isalpha() and ord(x) > 127 for x in c) and all(a == b or b.isalpha() or b in "\u2019\u201c\u201d\u2013\u20ac\u00bf\u00a1" for a, b in zip(token, c)):
                 seen.add(c)
                 out.append((channel, c))
     return out
@@ -340,17 +345,18 @@ def find_damage(table: DataFrame, key: str, fields: list[str]) -> DataFrame:
                     options = [(o["channel"], o["candidate"], math.log(o["n"] + 0.01)) for o in a["options"] if o["channel"] != "clean" and _admissible(a["token"], o)]
                     path.append((a["token"], math.log(own + 0.01), options))
                 chosen = viterbi(path)
-                changed = False
+                better: dict[str, str] = {}
                 states = {next(o[0] for o in options if o[1] == best) for (_, _, options), best in zip(path, chosen) if best}
                 for (token, own, options), best in zip(path, chosen):
                     if best is None and not any(c.isalpha() for c in token):  # signs follow the words around them
                         best = next((o[1] for o in options if o[0] in states and o[2] > own), None)
                     if best is not None and best.lower() != token.lower():
-                        changed = True
                         by = next(o[0] for o in options if o[1] == best)
-                        text = text.replace(token, _cased(token, best) if by == "lost" else best)
+                        better[token] = _cased(token, best) if by == "lost" else best
                         channel = channel or by
-                if changed or channel:
+                if better:
+                    text = _TOKEN.sub(lambda m: m.group().replace(_bare(m.group()), better.get(_bare(m.group()), _bare(m.group()))) if _bare(m.group()) else m.group(), text)
+                if channel:
                     keep.append(i)
                     texts.append(text)
                     channels.append(channel)
