@@ -41,16 +41,21 @@ ablehnen|nicht weiterhelfen|nicht helfen|nicht behilflich sein|keine meinung abg
 |no puedo|no me es posible|debo rechazar|no estoy en condiciones|lo siento, pero
 |non posso|non sono in grado|devo rifiutare|non mi è possibile|mi dispiace, ma
 |kan ik niet|ik kan niet|ik kan hier|ik kan geen|moet ik weigeren|niet mogelijk om|het spijt me|ik wil geen|niet helpen
+
+nicht|kein|keine|keinen|keinem|keiner|nichts|verweigern|not|can't|cannot|won't|unable|decline|refuse|pas|refuse|refuser|décliner|no|rechazar|non|rifiutare|niet|geen|weigeren
 """
-#: Openings with which the writer speaks as an assistant or apologises; they or a request of the prompt make a first-person phrase a refusal.
+#: Openings with which the writer speaks as an assistant, or apologises in the first person; with a denial in the same sentence they are a refusal.
 _OPENINGS = """
-tut mir leid|leider muss ich|leider kann ich|leider darf ich|leider ist es mir|leider möchte ich|leider werde ich|als ki|als virtueller|als sprachmodell|als assistent|als künstliche|nach meinen vorgaben|meine richtlinien|meinen richtlinien|entschuldigung|ich bedaure|ich bitte um verständnis|es ist mir nicht
-|i'm sorry|i am sorry|sorry,|i'm afraid|i am afraid|i apologize|i apologise|apologies|unfortunately|as an ai|as a language model|as an assistant|as a virtual|i cannot|i can't|i won't|i must|i am not able|i'm not able|i am unable|i'm unable|i don't feel|i do not feel|my guidelines
-|désolé|désolée|je suis désolé|je regrette|malheureusement|en tant qu'ia|en tant que modèle|en tant qu'assistant|je ne peux|je dois|il m'est
-|lo siento|lamento|lamentablemente|como modelo|como ia|como asistente|no puedo|debo
-|mi dispiace|purtroppo|come modello|come ia|come assistente|non posso|devo
-|het spijt|helaas|als ai|als taalmodel|als assistent|ik kan|sorry
+tut mir leid|leider muss ich|leider kann ich|leider darf ich|leider ist es mir|leider möchte ich|leider werde ich|als ki|als virtueller|als sprachmodell|als assistent|als künstliche|nach meinen vorgaben|meinen richtlinien|meine richtlinien|meiner richtlinien|meinen regeln|meine regeln|meine vorgaben|meine programmierung|ich bedaure|ich bitte um verständnis|es ist mir nicht
+|i'm sorry|i am sorry|i'm afraid|i am afraid|i apologize|i apologise|as an ai|as a language model|as an assistant|as a virtual|i cannot|i can't|i won't|i must|i am not able|i'm not able|i am unable|i'm unable|i don't feel|i do not feel|my guidelines
+|désolé|désolée|je suis désolé|je regrette|en tant qu'ia|en tant que modèle|en tant qu'assistant|je ne peux|je dois|il m'est
+|lo siento|lamento|como modelo|como ia|como asistente|no puedo|debo
+|mi dispiace|come modello|come ia|come assistente|non posso|devo
+|het spijt|als taalmodel|ik kan
 """
+#: Weaker openings, which must begin the sentence and need the first person in it as well.
+_WEAK = "leider|entschuldigung|sorry|pardon|apologies|unfortunately|regrettably|malheureusement|désolé|désolée|lamentablemente|por desgracia|purtroppo|spiacente|helaas"
+_FIRST_PERSON = "ich|mir|mich|i|je|j'ai|yo|puedo|io|posso|ik|mijn"
 
 
 def _phrases(text: str) -> list[str]:
@@ -58,14 +63,14 @@ def _phrases(text: str) -> list[str]:
 
 
 class Refusals:
-    """Two automata over normalised sentences: what is declined, and who speaks."""
+    """One automaton over normalised sentences for what is declined and for who speaks."""
 
     def __init__(self) -> None:
         import ahocorasick
 
         self.a = ahocorasick.Automaton()
         kinds: dict[str, int] = {}
-        for kind, text in ((1, _REFUSALS), (2, _OPENINGS)):
+        for kind, text in ((1, _REFUSALS), (2, _OPENINGS), (4, _WEAK), (8, _FIRST_PERSON)):
             for p in _phrases(text):
                 kinds[p] = kinds.get(p, 0) | kind
         for p, kind in kinds.items():
@@ -79,9 +84,9 @@ class Refusals:
             for end, (kind, n) in self.a.iter(sentence):
                 before = sentence[end - n : end - n + 1]
                 after = sentence[end + 1 : end + 2]
-                if not (after.isalpha() or (end - n >= 0 and before.isalpha())):
-                    seen |= kind
-            if seen == 3:
+                if not (after.isalpha() or after == "'" or (end - n >= 0 and before.isalpha())):
+                    seen |= kind if kind != 4 or not any(c.isalnum() for c in sentence[: end - n + 1]) else 0
+            if seen & 3 == 3 or seen & 13 == 13:
                 return True
         return False
 
@@ -170,11 +175,14 @@ def truncated(comment: str) -> bool:
     rest = bare.rstrip()
     while (m := _SINGLE.search(rest)) is not None:
         smiley, rest = True, rest[: m.start()].rstrip()
-    if _DONE.search(rest) or not rest:
+    if not rest:
         return False
     u = _URL.search(rest)
-    if u:
-        return not _FULL_URL.match(u.group())
+    if u:  # an address breaks off if its host does, or if it ends without a sign and is no whole address
+        address = u.group().rstrip(".!?…,;:\"“”’)]")
+        return "." not in address.split("//")[-1].split("/")[0] or (address == u.group() and not _FULL_URL.match(address))
+    if _DONE.search(rest):
+        return False
     return not smiley
 
 
