@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,6 +26,26 @@ def local_session(app: str = "quillspark", cpus: str = "8", partitions: int = 8)
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, so that its functions can be loaded there without an installation.
+
+    The archive is made on the driver, which serves it to every executor, also to those that join later.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_quillspark_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="quillspark-"), "quillspark.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("quillspark", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._quillspark_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder named by spark.checkpoint.dir; only a local session without one gets a temporary folder."""
     sc = spark.sparkContext
