@@ -64,10 +64,10 @@ def contributor_of_url(url: Column) -> Column:
     return _registrable(raw_host(url))
 
 
-def cap_contributors(records: DataFrame, key: str, contributors: str, quality: str, capacity: int) -> DataFrame:
+def cap_contributors(records: DataFrame, key: str, contributors: str, quality: str, capacity: int, most_listed: int | None = None) -> DataFrame:
     """Decide for every record whether it is kept; each contributor keeps at most ``capacity`` records.
 
-    ``contributors`` is an array column. Returns one row per input row: (key, contributors, quality, kept). A record
+    ``contributors`` is an array column; ``most_listed`` is the length of the longest list where it is known. Returns one row per input row: (key, contributors, quality, kept). A record
     whose list is null or empty, or holds only nulls, competes with nobody and is kept. A null quality ranks last, ties
     go to the smaller key, a null key ranks after all keys; repeated rows compete as separate records. Other columns of
     ``records`` are not read. An empty input gives an empty result.
@@ -79,8 +79,9 @@ def cap_contributors(records: DataFrame, key: str, contributors: str, quality: s
     result = lambda d: d.select(F.col("key").alias(key), F.col("listed").alias(contributors), F.col("quality").alias(quality), "kept")
     free = base.where(F.coalesce(F.size("listed"), F.lit(0)) <= 0).withColumn("kept", F.lit(True))
     bound = base.where(F.size("listed") > 0)
-    most = bound.agg(F.max(F.size("listed"))).first()[0] or 0
-    if most <= 1:  # one round decides all: whoever is not held meets a full contributor
+    if most_listed is None:
+        most_listed = bound.agg(F.max(F.size("listed"))).first()[0] or 0
+    if most_listed <= 1:  # one round decides all: whoever is not held meets a full contributor
         ranked = ranked_in_groups(bound.withColumn("contributor", F.col("listed")[0]), ["contributor"], order)
         return result(free.unionByName(ranked.withColumn("kept", F.col("rank_in_group") <= capacity).select("key", "listed", "quality", "kept")))
     bound = cut_lineage(bound.withColumn("_row", F.monotonically_increasing_id()))
@@ -117,4 +118,4 @@ def cap_hosts(rows: DataFrame, key: str, url: str, quality: str, divisor: int) -
     linked = rows.select(F.col(key), F.col(url).alias("_url"), F.col(quality)).where(F.length(stripped(F.col("_url"))) > 0)
     n = linked.count()
     sites = linked.select(key, F.array(contributor_of_url(F.col("_url"))).alias("sites"), quality)
-    return cap_contributors(sites, key, "sites", quality, n // divisor)
+    return cap_contributors(sites, key, "sites", quality, n // divisor, 1)

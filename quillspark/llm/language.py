@@ -15,7 +15,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.llm.encoding import decode_utf8
@@ -25,6 +25,8 @@ LANGUAGES = ("de", "en", "fr", "es", "it", "nl")
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bound of the sample: labelled texts for each language, those of the smallest key hashes.
 SAMPLE = 500
+#: Bound of a sample text, in characters. Texts that are judged are read whole.
+MOST_CHARACTERS = 5000
 #: Rounds of expectation-maximisation, added count of every piece, least words and posterior of a voting segment.
 ROUNDS, ADDED, LEAST_WORDS, LEAST_POSTERIOR = 2, 0.05, 4, 0.95
 #: The log posteriors are divided by this, since the words of a sentence are far from independent.
@@ -159,12 +161,14 @@ def _expected(word: str, prob: dict[str, float], least: float, pieces: frozenset
 
 def sample_texts(labelled: DataFrame, key: str, text: str, lang: str, size: int = SAMPLE) -> dict[str, list[str]]:
     """At most ``size`` texts for each language, those of the smallest hash of the key; what is read here is bounded."""
-    out: dict[str, list[str]] = {}
-    for one in LANGUAGES:
-        rows = labelled.where((F.lower(F.substring(F.trim(lang), 1, 2)) == one) & F.col(text).isNotNull())
-        ids = rows.select(F.col(key).alias("k")).orderBy(F.xxhash64("k"), "k").limit(size)
-        out[one] = [r[0][:5000] for r in labelled.join(F.broadcast(ids), F.col(key) == F.col("k"), "left_semi").select(text).where(F.col(text).isNotNull()).limit(size).collect()]
-    return out
+    rows = labelled.select(F.col(key).alias("k"), F.lower(F.substring(F.trim(lang), 1, 2)).alias("l"), F.col(text).alias("t")).where(F.col("l").isin(*LANGUAGES) & F.col("t").isNotNull())
+    order = Window.partitionBy("l").orderBy(F.xxhash64("k"), "k")  # a group limit: each task passes on at most ``size`` keys
+    chosen = rows.select("k", "l").withColumn("n", F.row_number().over(order)).where(F.col("n") <= size).select("k", "l")
+    found = rows.join(F.broadcast(chosen), ["k", "l"], "left_semi").select("l", F.substring("t", 1, MOST_CHARACTERS).alias("t")).collect()
+    out: dict[str, list[str]] = {one: [] for one in LANGUAGES}
+    for r in sorted(found):
+        out[r.l].append(r.t)
+    return {one: texts[:size] for one, texts in out.items()}
 
 
 def segments(text: str) -> list[str]:

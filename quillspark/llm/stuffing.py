@@ -131,7 +131,7 @@ def corpus_counts(corpus: DataFrame, text: str) -> dict[str, np.ndarray]:
 
     parts = corpus.select(text).mapInArrow(count, "chunk long, counts binary").groupBy("chunk").applyInPandas(add, "chunk long, counts binary")
     sketch = np.zeros(sum(sizes) + 1, np.int64)
-    for r in parts.toLocalIterator():
+    for r in parts.collect():  # as many rows as the sketch has chunks
         a = np.frombuffer(zlib.decompress(r.counts), np.int64)
         sketch[r.chunk * _CHUNK : r.chunk * _CHUNK + len(a)] = a
     return {"words": sketch[: sizes[0]], "pairs": sketch[sizes[0] : -1], "total": sketch[-1:]}
