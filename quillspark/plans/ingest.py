@@ -68,7 +68,7 @@ def post_items(items: DataFrame, base: str = BASE) -> DataFrame:
 
 
 def aggregate(pages: DataFrame, linked: DataFrame | None = None, base: str = BASE) -> dict[str, DataFrame]:
-    """posts, words and domains of the pages. Words count in all items, domains in all items with a code, posts once.
+    """posts, words, domains and the persisted items of the pages. Words count in all items, domains in all items with a code, posts once.
 
     ``linked`` (url and metadata columns) adds externalSources by lookup; without it they stay empty and no join is planned.
     """
@@ -84,4 +84,4 @@ def aggregate(pages: DataFrame, linked: DataFrame | None = None, base: str = BAS
         links = posts.select(F.col("hexTimestamp").alias("post_id"), F.posexplode(rest).alias("pos", "href"))
         posts = posts.join(linked_sources(links, linked).withColumnRenamed("post_id", "hexTimestamp"), "hexTimestamp", "left").withColumn("externalSources", F.coalesce("sources", F.array()))
     posts = posts.select("timestamp", "hexTimestamp", F.col("quoteCount"), F.col("wordCount").cast("int").alias("wordCount"), "sourcesCount", "url", "content", F.col("html").alias("contentHtml"), "externalSources", "month")
-    return {"posts": posts, "words": words, "domains": domains}
+    return {"posts": posts, "words": words, "domains": domains, "items": items}

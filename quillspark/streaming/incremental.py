@@ -23,6 +23,7 @@ def ingest_new_pages(spark: SparkSession, folder: str, out: str, checkpoint: str
         for name, part in (("posts", made["posts"]), ("words", made["words"].where("bucket <> 'sum'")), ("domains", made["domains"].where("bucket <> 'sum'"))):
             by = "month" if name == "posts" else "bucket"
             part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(f"{out}/{name}")
+        made["items"].unpersist()
 
     return named.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
