@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from quillspark.functions.patterns import WS
 
 
+#: Characters of a counted word at least.
+LEAST_WORD = 4
+
+
 def normalize_whitespace(v: Column) -> Column:
     """Runs of Unicode white space as one blank, none at the ends; null as the empty string."""
     return F.trim(F.regexp_replace(F.coalesce(v, F.lit("")), WS + "+", " "))
@@ -39,8 +43,8 @@ def clean_token(t: Column) -> Column:
     return F.regexp_replace(t, r"[^\p{L}\p{N}]", "")
 
 
-def is_counted_word(w: Column, least: int = 4) -> Column:
-    return (F.length(w) >= least) & ~w.rlike(r"^\p{Nd}")
+def is_counted_word(w: Column) -> Column:
+    return (F.length(w) >= LEAST_WORD) & ~w.rlike(r"^\p{Nd}")
 
 
 def token_count(v: Column) -> Column:

@@ -21,8 +21,8 @@ def with_total(items: DataFrame, bucket: str, key: str) -> DataFrame:
 
 def word_counts(items: DataFrame, bucket: Column, text: str) -> DataFrame:
     """Counts of the words of at least four characters that begin with no digit, from all items, also those that give no post."""
-    found = items.select(bucket.alias("bucket"), F.explode(tokens(open_sentence_gaps(strip_marker(F.col(text))))).alias("t"))
-    found = found.select("bucket", clean_token(F.col("t")).alias("word")).where(is_counted_word(F.col("word")))
+    cleaned = F.transform(tokens(open_sentence_gaps(strip_marker(F.col(text)))), clean_token)  # each token once, before it is tested
+    found = items.select(bucket.alias("bucket"), F.explode(F.filter(cleaned, is_counted_word)).alias("word"))
     return with_total(found, "bucket", "word")
 
 
