@@ -22,6 +22,8 @@ COPIED = 0.95
 _WORD = re.compile(r"[^\W_]+")
 _MARK = re.compile(r"^(?:\s|​|﻿)*(?:\[l\](?:\s|​|﻿)*)+|(?:\s|​|﻿)+$")
 _SMILEY = re.compile(r"(?:[:;=8][-'^o]?[()\[\]DPpOo/\\|*3]|\bm\(|\^_?\^|<3|¯\\_\(ツ\)_/¯|\bo_O|\bO_o|\bx[dD]\b|\bXD\b|\\o/)")
+_LONG_WORD = re.compile(r"[^\W\d_]{4}")
+_QUOTES = re.compile("[\"„“«»‚]")
 _QUOTE = re.compile(r"\"[^\"]*\"|„[^“”\"]*[“”\"]|“[^”]*”|«[^»]*»|»[^«]*«|‚[^‘’]*[‘’](?!\w)")
 
 # Stand-ins for a missing text, as a whole response without signs.
@@ -55,7 +57,7 @@ tut mir leid|leider muss ich|leider kann ich|leider darf ich|leider ist es mir|l
 """
 #: Weaker openings, which must begin the sentence and need the first person in it as well.
 _WEAK = "leider|entschuldigung|sorry|pardon|apologies|unfortunately|regrettably|malheureusement|désolé|désolée|lamentablemente|por desgracia|purtroppo|spiacente|helaas"
-_FIRST_PERSON = "ich|mir|mich|i|je|j'ai|yo|puedo|io|posso|ik|mijn"
+_FIRST_PERSON = re.compile(r"\b(?:ich|mir|mich|i|je|j'ai|yo|puedo|io|posso|ik|mijn)\b")
 
 
 def _phrases(text: str) -> list[str]:
@@ -63,34 +65,46 @@ def _phrases(text: str) -> list[str]:
 
 
 class Refusals:
-    """One automaton over normalised sentences for what is declined and for who speaks."""
+    """Automata over normalised sentences for who speaks and for what is denied.
 
-    def __init__(self) -> None:
-        import ahocorasick
+    The openings are looked for in the whole text first, quotations included: without any there is no refusal, and
+    hardly a text has one.
+    """
 
-        self.a = ahocorasick.Automaton()
-        kinds: dict[str, int] = {}
-        for kind, text in ((1, _REFUSALS), (2, _OPENINGS), (4, _WEAK), (8, _FIRST_PERSON)):
-            for p in _phrases(text):
-                kinds[p] = kinds.get(p, 0) | kind
-        for p, kind in kinds.items():
-            self.a.add_word(p, (kind, len(p)))
-        self.a.make_automaton()
+    def __init__(self) -> None:
+        self.openings = _automaton([(p, 2) for p in _phrases(_OPENINGS)] + [(p, 4) for p in _phrases(_WEAK)])
+        self.denials = _automaton([(p, 1) for p in _phrases(_REFUSALS)])
 
     def found(self, text: str) -> bool:
-        own = _QUOTE.sub(" ", text).lower().replace("’", "'")
-        for sentence in re.split(r"(?<=[.!?])\s+|\n+", own):
-            seen = 0
-            for end, (kind, n) in self.a.iter(sentence):
-                before = sentence[end - n : end - n + 1]
-                after = sentence[end + 1 : end + 2]
-                if not (after.isalpha() or after == "'" or (end - n >= 0 and before.isalpha())):
-                    seen |= kind if kind != 4 or not any(c.isalnum() for c in sentence[: end - n + 1]) else 0
-            if seen & 3 == 3 or seen & 13 == 13:
+        low = text.lower().replace("’", "'")
+        if not any(True for _ in self.openings.iter(low)):
+            return False
+        for sentence in re.split(r"(?<=[.!?])\s+|\n+", _QUOTE.sub(" ", low)):
+            speaks = {kind for kind, at in _whole(self.openings, sentence) if kind == 2 or not any(c.isalnum() for c in sentence[:at])}
+            if (2 in speaks or (4 in speaks and _FIRST_PERSON.search(sentence))) and any(True for _ in _whole(self.denials, sentence)):
                 return True
         return False
 
 
+def _automaton(phrases: list[tuple[str, int]]):  # noqa: ANN202
+    import ahocorasick
+
+    a = ahocorasick.Automaton()
+    for phrase, kind in phrases:
+        a.add_word(phrase, (kind, len(phrase)))
+    a.make_automaton()
+    return a
+
+
+def _whole(automaton, sentence: str) -> Iterator[tuple[int, int]]:  # noqa: ANN001
+    """(kind, start) of the phrases that stand as whole words."""
+    for end, (kind, n) in automaton.iter(sentence):
+        at = end - n + 1
+        after = sentence[end + 1 : end + 2]
+        if not (after.isalpha() or after == "'" or sentence[max(0, at - 1) : at].isalpha()):
+            yield kind, at
+
+
 class SuffixAutomaton:
     """The suffix automaton of a word sequence."""
 
@@ -165,23 +179,29 @@ _FULL_URL = re.compile(r"^(?:https?://|www\.)[^\s/]+\.[a-z]{2,}(?::\d+)?/\S{3,}$
 _PAIRS = {")": "(", "]": "[", "}": "{", "“": "„", "”": "“", "»": "«"}
 
 
+_ENDS_WITH_SMILEY = re.compile(r"(?:" + _SMILEY.pattern + r")[\s.!]*$")
+_DELIMITER = re.compile("[(\\[{„«\"“]")
+
+
 def truncated(comment: str) -> bool:
     """The comment breaks off: its last sentence has no end, or a bracket, quotation or address stays open."""
     text = comment.strip()
-    bare = _SMILEY.sub(" ", text)
-    if _open(bare):
+    if _DELIMITER.search(text) and _open(_SMILEY.sub(" ", text)):
         return True
-    smiley = bool(re.search(r"(?:" + _SMILEY.pattern + r")[\s.!]*$", text))
-    rest = bare.rstrip()
-    while (m := _SINGLE.search(rest)) is not None:
+    # what follows looks at the end only; no remark, thanks or list of tags there is taken to be longer than this
+    tail = text[-400:]
+    smiley = bool(_ENDS_WITH_SMILEY.search(tail[-24:]))
+    rest = (tail[:-24] + _SMILEY.sub(" ", tail[-24:])).rstrip()
+    while not _DONE.search(rest[-16:]) and (m := _SINGLE.search(rest)) is not None:
         smiley, rest = True, rest[: m.start()].rstrip()
     if not rest:
         return False
-    u = _URL.search(rest)
+    last = rest.rsplit(None, 1)[-1]
+    u = _URL.search(last)
     if u:  # an address breaks off if its host does, or if it ends without a sign and is no whole address
         address = u.group().rstrip(".!?…,;:\"“”’)]")
         return "." not in address.split("//")[-1].split("/")[0] or (address == u.group() and not _FULL_URL.match(address))
-    if _DONE.search(rest):
+    if _DONE.search(rest[-16:]):
         return False
     return not smiley
 
@@ -237,7 +257,7 @@ for _lang, _list in _STOPWORDS.items():
 
 def foreign(comment: str) -> bool:
     """The stopwords of the writer's own text, outside quotations, vote for another language than German."""
-    own = _QUOTE.sub(" ", comment).lower()
+    own = (_QUOTE.sub(" ", comment) if _QUOTES.search(comment) else comment).lower()
     votes = dict.fromkeys(_STOPWORDS, 0.0)
     for w in re.findall(r"[^\W\d_]+", own):
         for lang in (owners := _OWNER.get(w, ())):
@@ -254,9 +274,10 @@ class Judge:
         if comment is None:
             return "empty"
         text = _MARK.sub("", _MARK.sub("", comment))
-        ws = _WORD.findall(_SMILEY.sub(" ", text).lower())
-        if not ws or " ".join(ws) in _STAND_INS:
-            return "empty"
+        if len(text) <= 60 or not _LONG_WORD.search(text):
+            ws = _WORD.findall(_SMILEY.sub(" ", text).lower())
+            if not ws or " ".join(ws) in _STAND_INS:
+                return "empty"
         if self.refusals.found(text):
             return "refusal"
         if copied(text, topic, _PREFIX.sub("", context) if context else None) >= COPIED:
