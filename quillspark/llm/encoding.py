@@ -44,7 +44,7 @@ _RARE_PLAUSIBLE = frozenset(chr(c) for c in range(0x370, 0x530))
 #: Values without any such character are clean: everything else is looked at. The lower-case letters are those of the six languages.
 SUSPICIOUS = (
     "[^\\x00-\\x7f\\u00e4\\u00f6\\u00fc\\u00df\\u00c4\\u00d6\\u00dc\\u00e9\\u00e8\\u00ea\\u00eb\\u00e0\\u00e1\\u00ee\\u00ef\\u00ed\\u00f4\\u00f3\\u00f9\\u00fb\\u00fa\\u00f1\\u00e7\\u00c9\\u00c0\\u00c8\\u2013\\u2014\\u2019\\u201c\\u201d\\u201e\\u20ac\\u2026]"
-    "|[\\p{Ll}][\\u00c0-\\u00de]|(?<![\\p{L}])[\\u00c0\\u00c8\\u00c9](?![\\p{L}])|&(?:#[0-9]{2,4}|#x[0-9a-fA-F]{2,4}|[A-Z]?[a-z]{2,6}[0-9]{0,2});|[\\p{Ll}]\\?[\\p{Ll}]|[\\p{L}][\\u201c\\u201d\\u2013\\u2026\\u20ac][\\p{L}]"
+    "|[\\p{Ll}][\\u00c0-\\u00de]|(?<![\\p{L}])[\\u00c0\\u00c8\\u00c9](?![\\p{L}])|&(?:#[0-9]{2,4}|#x[0-9a-fA-F]{2,4}|[A-Z]?[a-z]{2,6}[0-9]{0,2});|[\\p{L}]\\?[\\p{Ll}]|[\\p{L}][\\u201c\\u201d\\u2013\\u2026\\u20ac][\\p{L}]"
 )
 #: Words of the corpus that hold a character outside ASCII.
 FOREIGN_WORD = "[\\p{L}\\p{M}]*[^\\x00-\\x7f\\P{L}][\\p{L}\\p{M}]*"
@@ -144,8 +144,9 @@ def _mixed(a: str, b: str) -> bool:
 def decode_utf8(text: str) -> tuple[str, str] | None:
     """(restored text, encoding) where the byte lattice of an encoding holds UTF-8 sequences; None otherwise."""
     start = text
-    if _ENTITY.search(text):
-        text = html.unescape(text)
+    for _ in range(2):
+        if _ENTITY.search(text):
+            text = html.unescape(text)
     first = None
     for _ in range(4):
         best = None

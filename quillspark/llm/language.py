@@ -209,8 +209,12 @@ _CODES = {
     "französisch": "fr", "spa": "es", "spanish": "es", "español": "es", "spanisch": "es", "ita": "it", "italian": "it", "italiano": "it", "italienisch": "it", "nld": "nl", "dut": "nl", "dutch": "nl",
     "nederlands": "nl", "niederländisch": "nl",
 }
-#: Labels that name no language.
-_NONE = ("", "und", "zxx", "mul", "mis", "unknown", "none", "null", "default", "xx", "n/a", "na", "auto", "x")
+# The two-letter codes of languages, and some three-letter codes of others; any other label names none.
+_LANGUAGES = (
+    "aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo es et eu fa ff fi fj fo fr fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik io is it iu ja jv ka kg ki kj kk kl "
+    "km kn ko kr ks ku kv kw ky la lb lg li ln lo lt lu lv mg mh mi mk ml mn mr ms mt my nb nd ne ng nl nn no nr nv ny oc oj om or os pa pi pl ps pt qu rm rn ro ru rw sa sc sd se sg si sk sl sm sn so sq sr ss st su sv sw ta te tg th ti tk tl tn to tr ts "
+    "tt tw ty ug uk ur uz ve vi vo wa wo xh yi yo za zh zu"
+).split() + "por rus pol tur ara zho jpn swe dan ces ukr lat".split()
 
 
 def label_language(label: Column) -> Column:
@@ -218,7 +222,7 @@ def label_language(label: Column) -> Column:
     first = F.regexp_extract(F.lower(F.trim(label)), "^([^-_;,. @]*)", 1)
     known = F.create_map(*[F.lit(x) for kv in _CODES.items() for x in kv])
     code = F.coalesce(F.try_element_at(known, first), first)
-    return F.when(label.isNull() | code.isin(*_NONE) | ~code.rlike("^[\\p{L}]{2,}$"), None).otherwise(code)
+    return F.when(code.isin(*_LANGUAGES), code)
 
 
 def detect(texts: DataFrame, model: PieceModel) -> DataFrame:
