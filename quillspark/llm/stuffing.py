@@ -30,7 +30,8 @@ _SEEDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 LEAST_FUNCTION_SHARE = 0.1
 #: The same for long units with a separator for every three words, whose entries may hold a function word each.
 MOST_FUNCTION_IN_LIST = 0.3
-#: Mean information in nats of neighbours below which a unit without function words is salad.
+#: Mean information in nats of neighbours below which a unit without function words is salad. So high that it hardly ever
+#: spares a unit: on the corpus at hand the information does not separate spam (see the README).
 LEAST_PMI = 9.0
 #: Share of a document's words covered by repetitions of one phrase from which the phrase is stuffed.
 MOST_REPEATED = 0.3
