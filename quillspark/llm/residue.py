@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.runtime import cut_lineage
+from quillspark.runtime import computed, cut_lineage
 
 # Variables of page templates, as the names in a placeholder are built.
 _NAME = "[\\p{L}_][\\p{L}\\p{N}_.-]*"
@@ -107,36 +107,22 @@ PHRASE_WORDS = (
 _FORM = "\\p{Z}\\s"
 
 
-# How messages and filler begin, and what those that begin otherwise hold. Every message form above matches
-# one of these, so values without are passed over before anything is normalised.
-_STARTS = (
-    "please|bitte|veuillez|por favor|per favore|enable|activ|aktivier|turn on|allow|einschalten|schalten|schakel|habilit|abilit|attiv|zet |java ?script|ohne (?:java|skript)|die(?:se)? (?:seite|website|anwendung|angeforderte|sitzung|session|page)|this (?:page|site|web|app|content|service)|"
-    "the (?:requested|page|site|web|service|server|app)|dies(?:er)? (?:ist|text)|das (?:ist|hier|steht)|der (?:service|server|dienst)|your|ihre? |deine? |we(?:'| will| have| are)|"
-    "error|fehler|erreur|errore|fout|status|http|not found|forbidden|gone|bad (?:gateway|request)|unauthorized|gateway|internal|service|server|dienst|rate |too many|moved|request|method|nicht (?:gefunden|verf)|zugriff|seite|page|p[aá]gina|"
-    "la (?:page|p[aá]gina|session|sesi)|esta p|angeforderte|artikel|article|oops|ups|hoppla|sorry|whoops|da ist|etwas|something|une (?:erreur|session)|ha (?:ocurrido)|si è|er is |site|website|webpage|sitio|access|permission|acc[eè]s|acceso|accesso|"
-    "toegang|you |zu viele|fatal|parse|syntax|warning|uncaught|traceback|database|datenbank|could not|just |checking|attention|are you|verify|session|sitzung|votre|su (?:sesi|t[ií]t|texto)|sesi|sessie|uw |de sessie|document|wartung|wegen wartung|"
-    "maintenance|scheduled|en (?:maint|mant)|sito|in manut|coming|under|hier (?:steht|stehen|kommt|folgt|könnte|entsteht|ist|nur|ein)|hier(?: )?$|blind|platzhalter|f[uü]llt|muster|beispielt|dummy|ein (?:blind|platz|f[uü]ll|muster|beispiel|dummy)|"
-    "nur (?:blind|platz|f[uü]ll|muster|beispiel|dummy)|steht |ist ein |placeholder|tu |il tuo|jouw|insert|add |enter|write|type |todo|to ?do|tbd|fixme|xxx|sample|hello|my blog|neue seite|new page|nouvelle p|nueva p|nuova p|nieuwe p|untitled|unbenannt|"
-    "sans titre|sin t|senza t|naamloos|no t|kein t|home ?page|x|asdf|qwert|jkl|foo|bar|baz|bla|test|asd|null|none|undefined|nan|n/a|false|true|nil"
-)
-_ORNAMENT = "^[^\\p{L}]*(?:(?:notice|hinweis|warning|warnung|achtung|info|attention|avviso|aviso|let op|meldung): *[^\\p{L}]*)?"
-_FILLER = FILLER_WORDS[FILLER_WORDS.index("(?:") + 3 : FILLER_WORDS.rindex(")(?!")]
-_BEGIN = _ORNAMENT + "(?:" + _STARTS + "|(?:" + _FILLER + ")(?:$|[^\\p{L}]+(?:$|(?:" + _FILLER + ")(?![\\p{L}]))))"
-_INSIDE = (
-    "s(?:cript|kript|ostituire)|lorem ipsum|c(?:onse[tc]tetur|ookie|aptcha)|re(?:mplacer|emplazar|place|load)|e(?:rsetzen|rror|rreur|rneut)|ve(?:rvangen|rweigert)|is (?:down for|under|currently)|browser|f(?:ehler|orbidden)|"
-    "t(?:imeout|ry again)|un(?:available|defined|titled|benannt)|denied|n(?:icht gefunden|ot found|eu laden)|login|anmelden|pla(?:ceholder|tzhalter)|wartung|gateway"
-)
+# Each placeholder form begins with one of these, so values without are passed over.
+_MARKS = "[{<%@#\\[_$]|undefined|NaN"
+_ADDRESS = "(?:https?://|www\\.)[^ ]+|[^ @]+@[^ @]+\\.[a-z]+|[^ ]+\\.(?:example|test|invalid|com|org|net|de)(?:/[^ ]*)?"
+# What every address holds; the search for addresses itself is slow on long words.
+_ADDRESSED = "://|www\\.|@|\\.(?:example|test|invalid|com|org|net|de)"
+_SITE = " (?:\\||//|-|·|») [^|]{2,40}$"
 
 
-def normal_form(value: Column, site: bool = True) -> Column:
-    """Lower case without ornaments and reference numbers at the ends, and with ``site`` without the name of the site
-    behind a separator; numbers, addresses and dates masked."""
+def _spelled(value: Column) -> Column:
     v = F.regexp_replace(value, "[\\u00ad\\u200b-\\u200f\\u2060\\ufeff]", "")
     v = F.regexp_replace(F.lower(v), "[" + _FORM + "]+", " ")
-    v = F.translate(v, "’‘“”–—…", "''\"\"--.")
-    if site:
-        v = F.regexp_replace(v, " (?:\\||//|-|·|») [^|]{2,40}$", "")
-    v = F.regexp_replace(v, "(?:https?://|www\\.)[^ ]+|[^ @]+@[^ @]+\\.[a-z]+|[^ ]+\\.(?:example|test|invalid|com|org|net|de)(?:/[^ ]*)?", "@")
+    return F.translate(v, "’‘“”–—…", "''\"\"--.")
+
+
+def _masked(v: Column) -> Column:
+    v = F.when(v.rlike(_ADDRESSED), F.regexp_replace(v, _ADDRESS, "@")).otherwise(v)
     v = F.regexp_replace(v, " ?[(\\[](?:id|ref|code|nr|no|ray)?[.:#]? ?[0-9][0-9a-f-]*[)\\]]$", "")
     v = F.regexp_replace(v, "[0-9]+(?:[.,:/-][0-9]+)*", "#")
     v = F.regexp_replace(v, "^(?:[" + _FORM + "!+*>»·\\u2022=~-]|\\[#\\]|(?:notice|hinweis|warning|warnung|achtung|info|attention|avviso|aviso|let op|meldung)(?:: ))+", "")
@@ -144,6 +130,13 @@ def normal_form(value: Column, site: bool = True) -> Column:
     return F.trim(v)
 
 
+def normal_form(value: Column, site: bool = True) -> Column:
+    """Lower case without ornaments and reference numbers at the ends, and with ``site`` without the name of the site
+    behind a separator; numbers, addresses and dates masked."""
+    v = _spelled(value)
+    return _masked(F.regexp_replace(v, _SITE, "") if site else v)
+
+
 def site_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, "^(?:[a-zA-Z]+:)?//([^/?#]+)", 1))
 
@@ -155,19 +148,7 @@ def values_of(table: DataFrame, name: str, key: str, fields: list[str], source:
 
 
 def is_placeholder(value: Column) -> Column:
-    return value.rlike(PLACEHOLDER)
-
-
-def is_message(value: Column) -> Column:
-    short, whole = normal_form(value), normal_form(value, False)
-    return short.rlike(MESSAGE) | ((short != whole) & whole.rlike(MESSAGE))
-
-
-def may_be_residue(value: Column) -> Column:
-    """A cheap test that all residue passes."""
-    # a lambda variable, so that the lower case is made once
-    worded = F.exists(F.array(F.lower(value)), lambda low: low.rlike(_BEGIN) | low.rlike(_INSIDE))
-    return value.rlike("[{<%@#\\[_$]") | value.contains("NaN") | F.coalesce(worded, F.lit(False))
+    return value.rlike(_MARKS) & value.rlike(PLACEHOLDER)
 
 
 def is_filler(form: Column) -> Column:
@@ -180,7 +161,13 @@ def is_filler(form: Column) -> Column:
 
 def residue_rules(value: Column) -> Column:
     """The rules on a single value, without recurrence; null for null."""
-    return may_be_residue(value) & (is_placeholder(value) | is_message(value) | is_filler(normal_form(value)))
+    # lambda variables, so that each form is made once
+    whole = lambda v, judge: F.exists(F.array(_masked(v)), judge)
+    listed = lambda w: w.rlike(MESSAGE)
+    judged = lambda w: listed(w) | is_filler(w)
+    sited = lambda v: whole(F.regexp_replace(v, _SITE, ""), judged) | whole(v, listed)
+    worded = F.exists(F.array(_spelled(value)), lambda v: F.when(v.rlike(_SITE), sited(v)).otherwise(whole(v, judged)))
+    return is_placeholder(value) | worded
 
 
 def find_residue(values: DataFrame, least_sources: int = 3, least_phrases: float = 0.3) -> DataFrame:
@@ -190,10 +177,14 @@ def find_residue(values: DataFrame, least_sources: int = 3, least_phrases: float
     ``least_sources`` or more sources of which ``least_phrases`` of the characters are message phrases. Null and empty
     values, and values of blanks only, are no cases; repeated rows are cases of their own. Empty input gives no rows.
     """
-    form = normal_form(F.col("value"))
-    spoken = (F.length("form") - F.length(F.regexp_replace("form", PHRASE_WORDS, ""))) / F.greatest(F.length("form"), F.lit(1))
-    rule = F.when(is_placeholder(F.col("value")), "placeholder").when(is_message(F.col("value")) | is_filler(F.col("form")), "message").when(spoken >= least_phrases, "worded")
-    suspects = values.where(F.length(F.trim("value")) > 0).where(may_be_residue(F.col("value"))).withColumn("form", form).withColumn("rule", rule).where("rule is not null")
+    d = computed(values.where(F.length(F.trim("value")) > 0), spelled=_spelled(F.col("value")))
+    d = computed(d, whole=_masked(F.col("spelled")), sited=F.col("spelled").rlike(_SITE))
+    d = computed(d, form=F.when(F.col("sited"), _masked(F.regexp_replace("spelled", _SITE, ""))).otherwise(F.col("whole")))
+    form = F.col("form")
+    message = form.rlike(MESSAGE) | (F.col("sited") & F.col("whole").rlike(MESSAGE)) | is_filler(form)
+    spoken = (F.length(form) - F.length(F.regexp_replace(form, PHRASE_WORDS, ""))) / F.greatest(F.length(form), F.lit(1))
+    rule = F.when(is_placeholder(F.col("value")), "placeholder").when(message, "message").when(spoken >= least_phrases, "worded")
+    suspects = computed(d, rule=rule).where("rule is not null")
     suspects = cut_lineage(suspects.select("table_name", "record_id", "field_name", "source", "rule", "form"))
     worded = suspects.where("rule = 'worded'").withColumn("form_hash", F.xxhash64("form"))
     spread = worded.groupBy("form_hash", "form").agg(F.approx_count_distinct("source").alias("sources"))

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quillspark.llm.residue import find_residue, residue_rules, site_of, values_of
+from quillspark.llm.residue import _MARKS, _PLACEHOLDERS, find_residue, is_placeholder, residue_rules, site_of, values_of
 
 CASES = [
     "{{ title }}", "Streit um %DESCRIPTION% in Bad", "Die [TITLE] kommt", "Bericht: X {0} Daten", "<TITLE HERE>", "@@title@@", "{% block x %}{% endblock %}", "__TEASER__ x", "${page.title}",
@@ -31,3 +31,24 @@ def test_tables(spark):
     assert sorted((r.record_id or 0, r.field_name, r.rule) for r in got) == [(0, "title", "message"), (1, "title", "placeholder"), (1, "title", "placeholder")] + [(10 + i, "text", "recurring") for i in range(4)]
     none = spark.createDataFrame([], schema)
     assert find_residue(values_of(none, "t", "id", ["title", "text"], site_of(F.col("url")))).count() == 0
+
+
+@pytest.mark.parametrize("text", ["Ohne Titel", "ohne titel (1)", "The article could not be found", "Die Artikel existiert nicht", "404 Not  Found", "404 Not\u00a0Found", "404\u00a0Not \n Found", "Seite  nicht\u00a0gefunden"])
+def test_no_listed_message_is_passed_over(spark, text):
+    assert spark.range(1).select(residue_rules(F.lit(text)).alias("r")).first().r
+    value = spark.createDataFrame([(1, text, "https://a.test/")], "id long, title string, url string")
+    assert [r.rule for r in find_residue(values_of(value, "t", "id", ["title"], site_of(F.col("url")))).collect()] == ["message"]
+
+
+def test_any_worded_message_is_counted(spark):
+    texts = ["Temporary database connection, permission log in", "Our database session: connection, maintenance, refresh", "Kleine exception beim refresh: permission, session"]
+    rows = [(10 * k + i, t, f"https://h{i}.test/") for k, t in enumerate(texts) for i in range(4)] + [(99, texts[0] + " and more that is not", "https://x.test/")]
+    got = find_residue(values_of(spark.createDataFrame(rows, "id long, title string, url string"), "t", "id", ["title"], site_of(F.col("url")))).collect()
+    assert sorted((r.record_id, r.rule) for r in got) == [(r[0], "recurring") for r in rows[:-1]]
+
+
+def test_marks_are_in_every_placeholder(spark):
+    made = ["{{ a }}", "{% a %}", "<%= a %>", "[% a %]", "${a}", "%{a}", "@@a@@", "%%a%%", "__ABC__", "%ABC%", "[[a]]", "[ABCD]", "<ABC HERE>", "{0}", "%s", "[object Object]", "$ABC_DEF", "undefined", "#REF!"]
+    for form, text in zip(_PLACEHOLDERS, made, strict=True):
+        r = spark.range(1).select(F.lit(text).rlike(form).alias("form"), F.lit(text).rlike(_MARKS).alias("mark"), is_placeholder(F.lit(text)).alias("both")).first()
+        assert r.form and r.mark and r.both, text
