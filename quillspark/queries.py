@@ -216,6 +216,57 @@ def source_metadata(s: SparkSession, d: str) -> DataFrame:
     return page.select(html.page_metadata(F.col("n"), F.lit("https://a.test/x")).alias("m")).select("m.*")
 
 
+# The four queries above show their operators on a literal page; these run them over every page, anchor and node.
+
+
+def _anchored(s: SparkSession, d: str) -> DataFrame:
+    return _parsed(s, d).withColumn("a", F.explode(html.external_anchors(F.col("n"))))
+
+
+@query
+def anchor_quotations(s: SparkSession, d: str) -> DataFrame:
+    return _anchored(s, d).select("message_id", F.col("a.pos").cast("bigint").alias("pos"), "a.href", html.quotation_after(F.col("n"), F.col("a")).alias("quotation"))
+
+
+@query
+def anchor_sentences(s: SparkSession, d: str) -> DataFrame:
+    return _anchored(s, d).select("message_id", F.col("a.pos").cast("bigint").alias("pos"), "a.href", html.sentence_after(F.col("n"), F.col("a")).alias("sentence"))
+
+
+@query
+def node_headers(s: SparkSession, d: str) -> DataFrame:
+    nodes = html.node_table(_t(s, d, "messages"), "message_id", "contenthtml")
+    return html.header_before(nodes, "message_id").select("message_id", F.col("pos").cast("bigint").alias("pos"), "kind", "tag", "header")
+
+
+@query
+def month_headers(s: SparkSession, d: str) -> DataFrame:
+    """The same over month pages, made of the messages under a header for each day; single messages hold no such header."""
+    day = F.coalesce(F.substring(timecode.decode(F.col("hextimestamp")), 1, 10), F.lit("undated"))
+    posts = _t(s, d, "messages").select(_month().alias("month"), F.struct(day.alias("day"), "message_id", F.coalesce("contenthtml", F.lit("")).alias("html")).alias("p"))
+    pages = posts.groupBy("month").agg(F.array_sort(F.collect_list("p")).alias("ps"))
+    first = lambda p, i: (i == 0) | (F.try_element_at("ps", F.greatest(i, F.lit(1)))["day"] != p["day"])
+    item = lambda p, i: F.concat(F.when(first(p, i), F.concat(F.lit("</ul><h3>"), p["day"], F.lit("</h3><ul>"))).otherwise(""), F.lit("<li>"), p["html"])
+    nodes = html.node_table(pages.select("month", F.array_join(F.transform("ps", item), "").alias("html")), "month", "html")
+    return html.header_before(nodes, "month").select("month", F.col("pos").cast("bigint").alias("pos"), "kind", "tag", "header")
+
+
+def _source_pages(s: SparkSession, d: str) -> DataFrame:
+    """The pages of externalsources as HTML, since no table holds them: each row's fields in the elements that name them."""
+    escaped = lambda c: F.replace(F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit('"'), F.lit("&quot;")), F.lit("<"), F.lit("&lt;"))
+    part = lambda before, c, after: F.coalesce(F.concat(F.lit(before), escaped(c), F.lit(after)), F.lit(""))
+    head = [part('<meta name="description" content="', "description", '">'), part('<meta name="author" content="', "author", '">'), part('<meta property="og:site_name" content="', "site_name", '">')]
+    body = [part('<time datetime="', "published", '">x</time>'), part("<h1>", "title", "</h1>")]
+    page = F.concat(F.lit("<html><head>"), *head, F.lit("</head><body>"), *body, F.lit("</body></html>"))
+    return _t(s, d, "externalsources").select("source_id", "url", page.alias("html"))
+
+
+@query
+def page_metadata(s: SparkSession, d: str) -> DataFrame:
+    pages = _source_pages(s, d).select("source_id", "url", html.nodes_of(F.col("html")).alias("n"))
+    return pages.select("source_id", html.page_metadata(F.col("n"), F.col("url")).alias("m")).select("source_id", "m.*")
+
+
 @query
 def html_topic(s: SparkSession, d: str) -> DataFrame:
     none = F.lit(None).cast("string")
