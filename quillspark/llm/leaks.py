@@ -10,7 +10,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -155,52 +155,142 @@ def find_leaks(corpus: DataFrame, key: str, text: str, items: DataFrame, item_ke
     return out.select(F.col("k").alias(key), F.col("v").alias(item_key)).distinct()
 
 
-def remove_spans(text: str, grams: dict, vocabulary: frozenset, n: int) -> tuple[str, int]:
-    """``text`` without the words of every leaked window, and the number of words removed. Spans are cut where the
-    words stand in the text itself; a leak that only shows after markup is removed yields the text without markup."""
-    for candidate in (text, plain(_INVISIBLE.sub("", text))):
-        spots = [(m.start(), m.end(), fold(m.group())) for m in _WORD.finditer(candidate)]
-        at = [0] * len(spots)
-        for i, _ in windows_hit([s[2] for s in spots], grams, vocabulary, n):
-            at[i : i + n] = [1] * n
-        if any(at):
-            pieces, last = [], 0
-            for (a, b, _), cut in zip(spots, at):
-                if cut:
-                    pieces.append(candidate[last:a])
-                    last = b
-            pieces.append(candidate[last:])
-            return "".join(pieces), sum(at)
-    return text, 0
+_ENTITY = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)")
+_PAIRS = [(re.compile(p), p[0]) for p in ("ae", "oe", "ue", "sz", "ss")]
+
+#: A text derived from another, and for each of its characters the stretch of the other that it stands for.
+Traced = tuple[str, list[tuple[int, int]]]
+
+
+def _replaced(traced: Traced, pattern: re.Pattern, new: Callable[[re.Match], str | int], attach: bool = False) -> Traced:
+    """``pattern.sub`` on a traced text. ``new`` gives the new text or the number of the group that stays. With
+    ``attach`` what is taken out belongs to the character before it."""
+    text, at = traced
+    parts, spans, last = [], [], 0
+    for m in pattern.finditer(text):
+        parts.append(text[last : m.start()])
+        spans += at[last : m.start()]
+        r = new(m)
+        if isinstance(r, int):
+            parts.append(m.group(r))
+            spans += at[m.start(r) : m.end(r)]
+        elif r:
+            parts.append(r)
+            spans += [(at[m.start()][0], at[m.end() - 1][1])] * len(r)
+        elif attach and spans:
+            spans[-1] = (spans[-1][0], at[m.end() - 1][1])
+        last = m.end()
+    return "".join([*parts, text[last:]]), spans + at[last:]
+
+
+def _traced_plain(t: Traced) -> Traced:
+    """``plain`` on a traced text."""
+    if "&" in t[0]:
+        t = _replaced(t, _ENTITY, lambda m: html.unescape(m.group()))
+    if "<" in t[0]:
+        t = _replaced(_replaced(t, _BLOCK_TAG, lambda m: " "), _TAG, lambda m: "")
+    if "](" in t[0] or "][" in t[0] or "] [" in t[0]:
+        t = _replaced(t, _TARGET, lambda m: "]")
+    if "[[" in t[0]:
+        t = _replaced(t, _WIKI, lambda m: 1)
+    if "[http" in t[0]:
+        t = _replaced(t, _WIKI_URL, lambda m: 1)
+    if "\\" in t[0]:
+        t = _replaced(t, _TEX, lambda m: 1 if m.group(1) else _tex(m))
+    return t
+
+
+def _traced_words(t: Traced) -> list[tuple[str, list[tuple[int, int]]]]:
+    """``words`` of a traced text, each with the stretches of its letters."""
+    letters, spans = [], []
+    for c, (a, b) in zip(*t):
+        folded = _COMBINING.sub("", unicodedata.normalize("NFKD", c.casefold())).casefold()
+        letters.append(folded)
+        spans += [(a, b)] * len(folded)
+        if not folded and spans:
+            spans[-1] = (spans[-1][0], b)
+    t = "".join(letters), spans
+    for pair, one in _PAIRS:
+        t = _replaced(t, pair, lambda m, one=one: one)
+    return [(m.group(), t[1][m.start() : m.end()]) for m in _WORD.finditer(t[0])]
+
+
+def traced_readings(text: str) -> list[list[tuple[str, list[tuple[int, int]]]]]:
+    """The word lists of ``readings``, with the place of each letter in ``text``."""
+    gone = lambda m: ""
+    raw = _replaced((text, [(i, i + 1) for i in range(len(text))]), _INVISIBLE, gone, True)
+    whole = _traced_plain(raw)
+    joined = lambda t: _replaced(t, _BROKEN, gone, True)
+    out = [joined(whole)]
+    if _BROKEN.search(whole[0]):
+        out.append(whole)
+    if whole[0] != raw[0]:
+        out.append(joined(raw))
+    if _INWORD.search(whole[0]):
+        out.append(joined(_replaced(whole, _INWORD, gone)))
+    return [_traced_words(t) for t in out]
+
+
+def leaked(text: str, grams: dict, vocabulary: frozenset, n: int) -> bool:
+    return any(windows_hit(ws, grams, vocabulary, n) for ws in readings(text))
+
+
+def remove_spans(text: str, grams: dict, vocabulary: frozenset, n: int) -> tuple[str | None, int]:
+    """``text`` without the words of every window that leaked in any of its readings, and the number of words removed.
+
+    Markup and signs between the words stay. Words that meet where others were cut are looked at again, until nothing
+    leaks; null if a leak is left that has no place in the text.
+    """
+    removed = 0
+    while leaked(text, grams, vocabulary, n):
+        cut = bytearray(len(text))
+        for ws in traced_readings(text):
+            for i, _ in windows_hit([w for w, _ in ws], grams, vocabulary, n):
+                for _, spans in ws[i : i + n]:
+                    for a, b in spans:
+                        cut[a:b] = b"\1" * (b - a)
+        if not any(cut):
+            return None, removed
+        removed += sum(any(cut[m.start() : m.end()]) for m in _WORD.finditer(text))
+        text = "".join(c for c, gone in zip(text, cut) if not gone)
+    return text, removed
 
 
 def clean_leaks(corpus: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, n: int = 12, most_removed: float = 0.5, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(key, text, removed_words, action) of all texts: leaked spans are cut out ('trimmed'); where more than
     ``most_removed`` of the words leaked the whole text is ('dropped', null text); others are 'kept' as they are.
 
-    Null texts are 'kept' as null. With several blocks of items, each pass trims what the one before left.
+    Null texts are 'kept' as null. With several blocks of items, each pass trims what the one before left, and what then
+    still leaks, because words met where a later pass cut, is dropped. No text that comes out has a leak.
     """
-    out = corpus.select(F.col(key).alias("k"), F.col(text).alias("t"), F.lit(0).cast("long").alias("removed"), F.lit("kept").alias("action"))
+    out = corpus.select(F.col(key).alias("k"), F.col(text).alias("t"), F.lit(0).cast("long").alias("removed"), F.lit("kept").alias("action"), F.lit(-1).cast("long").alias("whole"))
     spark = corpus.sparkSession
-    schema = f"k {dict(corpus.dtypes)[key]}, t string, removed long, action string"
-    for block in _blocks(items, item_key, item_text, block_words):
+    schema = f"k {dict(corpus.dtypes)[key]}, t string, removed long, action string, whole long"
+
+    def trimmed(out: DataFrame, block: list[tuple[int, str]], last: bool) -> DataFrame:
         grams = ngrams_of_items(block, n)
         shared = spark.sparkContext.broadcast((grams, frozenset(w for g in grams for w in g)))
 
-        def trim(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             grams, vocabulary = shared.value
             for b in batches:
                 rows = list(zip(*(c.to_pylist() for c in b.columns)))
                 new = []
-                for k, t, removed, action in rows:
-                    if t is not None:
-                        whole = len(_WORD.findall(t))
-                        t2, cut = remove_spans(t, grams, vocabulary, n)
-                        if cut:
-                            removed += cut
-                            t, action = (None, "dropped") if cut > most_removed * whole else (t2, "trimmed")
-                    new.append((k, t, removed, action))
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in new], b.schema.field(i).type) for i in range(4)], names=b.schema.names)
-
-        out = out.mapInArrow(trim, schema)
+                for k, t, removed, action, whole in rows:
+                    if t is not None and leaked(t, grams, vocabulary, n):
+                        whole = len(_WORD.findall(t)) if whole < 0 else whole
+                        t, cut = (None, 0) if last else remove_spans(t, grams, vocabulary, n)
+                        removed += cut
+                        t, action = (None, "dropped") if t is None or removed > most_removed * whole else (t, "trimmed")
+                    new.append((k, t, removed, action, whole))
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in new], b.schema.field(i).type) for i in range(5)], names=b.schema.names)
+
+        return out.mapInArrow(trim, schema)
+
+    blocks = 0
+    for block in _blocks(items, item_key, item_text, block_words):
+        out, blocks = trimmed(out, block, False), blocks + 1
+    if blocks > 1:
+        for block in _blocks(items, item_key, item_text, block_words):
+            out = trimmed(out, block, True)
     return out.select(F.col("k").alias(key), F.col("t").alias(text), F.col("removed").alias("removed_words"), "action")

@@ -99,6 +99,12 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return find_leaks(_table(spark, d, "documents"), "doc_id", "text", _table(spark, d, "benchmark_set"), "item_id", "target_comment", 12)
 
 
+def p7_clean(spark: SparkSession, d: str) -> DataFrame:
+    from quillspark.llm.leaks import clean_leaks
+
+    return clean_leaks(_table(spark, d, "documents"), "doc_id", "text", _table(spark, d, "benchmark_set"), "item_id", "target_comment", 12)
+
+
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
     from quillspark.llm.mixing import mix
 
@@ -118,7 +124,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = [p1_found, p2_found, p2_restored, p3_found, p3_clean, p4_found, p5_found, p6_found, p6_segments, p7_found, p8_mix, p8_shares, p9_found]
+    named = [p1_found, p2_found, p2_restored, p3_found, p3_clean, p4_found, p5_found, p6_found, p6_segments, p7_found, p7_clean, p8_mix, p8_shares, p9_found]
     return {f.__name__: f for f in named}
 
 
