@@ -188,10 +188,8 @@ def truncated(comment: str) -> bool:
     text = comment.strip()
     if _DELIMITER.search(text) and _open(_SMILEY.sub(" ", text)):
         return True
-    # what follows looks at the end only; no remark, thanks or list of tags there is taken to be longer than this
-    tail = text[-400:]
-    smiley = bool(_ENDS_WITH_SMILEY.search(tail[-24:]))
-    rest = (tail[:-24] + _SMILEY.sub(" ", tail[-24:])).rstrip()
+    smiley = bool(_ENDS_WITH_SMILEY.search(text[-24:]))
+    rest = (text[:-24] + _SMILEY.sub(" ", text[-24:])).rstrip()
     while not _DONE.search(rest[-16:]) and (m := _SINGLE.search(rest)) is not None:
         smiley, rest = True, rest[: m.start()].rstrip()
     if not rest:

@@ -41,3 +41,12 @@ def test_tables(spark):
     got = find_broken(spark.createDataFrame(rows, schema), "id", "topic", "context", "answer").collect()
     assert sorted((r.id or 0, r.defect) for r in got) == [(0, "truncated"), (1, "empty"), (1, "empty")]
     assert find_broken(spark.createDataFrame([], schema), "id", "topic", "context", "answer").count() == 0
+
+
+def test_long_ends_are_seen_whole():
+    from quillspark.llm.pairs import truncated
+
+    remark = "eine lange Bemerkung ohne Punkt, " * 20
+    for end in (f"({remark})", f"[{remark}]", "Hier steht es: https://www.example.org/" + "x" * 500):
+        assert not truncated("Das ist ein ganzer Satz. " + end)
+    assert truncated("Das ist ein ganzer Satz. (" + remark) and truncated("Das ist ein ganzer Satz. " + remark + "und")
