@@ -25,7 +25,7 @@ LANGUAGES = ("de", "en", "fr", "es", "it", "nl")
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bound of the sample: labelled texts for each language, those of the smallest key hashes.
 SAMPLE = 500
-#: Bound of a sample text, in characters. Texts that are judged are read whole.
+#: Bound of a sample text, in characters. Texts that are judged, and all words, are read whole.
 MOST_CHARACTERS = 5000
 #: Rounds of expectation-maximisation, added count of every piece, least words and posterior of a voting segment.
 ROUNDS, ADDED, LEAST_WORDS, LEAST_POSTERIOR = 2, 0.05, 4, 0.95
@@ -57,7 +57,7 @@ class PieceModel:
         return found
 
     def _forward(self, word: str) -> list[float]:
-        s = "▁" + word[:200]
+        s = "▁" + word
         k, n = len(self.floor), len(s)
         alpha = [[1.0] * k] + [[0.0] * k for _ in range(n)]
         scale = [0.0] * k
@@ -135,8 +135,11 @@ def fit(samples: dict[str, list[str]], vocabulary: str = VOCABULARY, rounds: int
 
 
 def _expected(word: str, prob: dict[str, float], least: float, pieces: frozenset[str], longest: int) -> dict[str, float]:
-    """Expected piece counts of a word under all its segmentations (forward and backward sums)."""
-    s = "▁" + word[:60]
+    """Expected piece counts of a word under all its segmentations (forward and backward sums).
+
+    Sums that become small are raised by powers of two, which rounds nothing; ``up`` and ``down`` hold the powers.
+    """
+    s = "▁" + word
     n = len(s)
     arcs = []
     for i in range(n):
@@ -144,18 +147,30 @@ def _expected(word: str, prob: dict[str, float], least: float, pieces: frozenset
             p = s[i:j]
             if p in pieces or j == i + 1:
                 arcs.append((i, j, p, prob.get(p, least)))
-    fwd, bwd = [0.0] * (n + 1), [0.0] * (n + 1)
+    fwd, bwd, up, down = [0.0] * (n + 1), [0.0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
     fwd[0] = bwd[n] = 1.0
+    at = 0
     for i, j, _, q in arcs:
+        if i > at:
+            at, up[i] = i, up[i - 1]
+            if fwd[i] < 2.0**-300:
+                fwd[i : i + longest] = [f * 2.0**300 for f in fwd[i : i + longest]]
+                up[i] += 300
         fwd[j] += fwd[i] * q
+    up[n] = up[n - 1]
+    at = n
     for i, j, _, q in reversed(arcs):
-        bwd[i] += q * bwd[j]
+        if i < at:
+            if bwd[at] < 2.0**-300:
+                bwd[at] *= 2.0**300
+                down[at] += 300
+            at, down[i] = i, down[at]
+        bwd[i] += math.ldexp(q * bwd[j], down[i] - down[j])
     out: dict[str, float] = {}
-    if fwd[n] > 0:
-        for i, j, p, q in arcs:
-            x = fwd[i] * q * bwd[j] / fwd[n]
-            if x > 1e-6:
-                out[p] = out.get(p, 0.0) + x
+    for i, j, p, q in arcs:
+        x = math.ldexp(fwd[i] * q * bwd[j] / fwd[n], up[n] - up[i] - down[j])
+        if x > 1e-6:
+            out[p] = out.get(p, 0.0) + x
     return out
 
 

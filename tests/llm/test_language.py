@@ -1,3 +1,4 @@
+import math
 import os
 
 import pytest
@@ -58,3 +59,29 @@ def test_issues(spark, model):
     got = label_issues(detect(df, model), F.col("name") == "b", "de").collect()
     assert sorted((r.id or 0, r.issue, r.lang) for r in got) == [(0, "missing", "en"), (2, "wrong", "en"), (3, "missing", "en"), (3, "missing", "en"), (5, "missing", "en"), (6, "mixed", "de"), (6, "mixed", "en")]
     assert detect(df.limit(0), model).count() == 0
+
+
+def test_long_words_are_read_whole():
+    from fractions import Fraction
+
+    from quillspark.llm.language import PieceModel, _expected
+
+    pieces, least = frozenset({"ab", "abc", "a", "ca"}), 1e-7
+    prob = {"ab": 0.01, "a": 0.003, "ca": 1e-5}
+    for word in ("abca" * 3, "abca" * 100 + "xyz" * 60 + "abc"):
+        s = "▁" + word
+        n = len(s)
+        arcs = [(i, j, s[i:j], Fraction(prob.get(s[i:j], least))) for i in range(n) for j in range(i + 1, min(n, i + 3) + 1) if s[i:j] in pieces or j == i + 1]
+        f, b = [Fraction(0)] * (n + 1), [Fraction(0)] * (n + 1)
+        f[0] = b[n] = Fraction(1)
+        for i, j, _, q in arcs:
+            f[j] += f[i] * q
+        for i, j, _, q in reversed(arcs):
+            b[i] += q * b[j]
+        want = {}
+        for i, j, p, q in arcs:
+            if (x := f[i] * q * b[j] / f[n]) > 1e-6:
+                want[p] = want.get(p, 0) + float(x)
+        assert _expected(word, prob, least, pieces, 3) == pytest.approx(want)
+    model = PieceModel({"a": (0.1, 0.2), "b": (0.2, 0.1)}, (1e-7, 1e-7), frozenset("ab"))
+    assert model.forward("a" * 300 + "b" * 50) != model.forward("a" * 300 + "a" * 50) and model.forward("a" * 5000)[0] == pytest.approx(5000 * math.log(0.1) + math.log(1e-7))
