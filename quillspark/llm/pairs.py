@@ -2,19 +2,23 @@
 
 Each response is tested in this order: empty, refusal, copy, truncated, other language. Copies are measured on a suffix
 automaton of the prompt: the response is walked through it and the words of its longest matches count as copied.
-Refusals come from an Aho-Corasick automaton of phrases, outside quotations and in a first-person sentence. Truncation
-is a delimiter stack and the end of the last sentence; the language is a vote of stopwords that belong to one language.
+Refusals come from an Aho-Corasick automaton of word classes over clauses outside quotations. Truncation is a delimiter
+stack and the end of the last sentence; the language is a vote of stopwords that belong to one language, and of a model of
+word pieces where the stopwords are silent.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.llm.language import LANGUAGES, PieceModel, words
+
 DEFECTS = ("empty", "refusal", "copy", "truncated", "other_language")
 #: Share of the response's words that must be found in the prompt for a copy.
 COPIED = 0.95
@@ -22,6 +26,7 @@ COPIED = 0.95
 _WORD = re.compile(r"[^\W_]+")
 _MARK = re.compile(r"^(?:\s|​|﻿)*(?:\[l\](?:\s|​|﻿)*)+|(?:\s|​|﻿)+$")
 _SMILEY = re.compile(r"(?:[:;=8][-'^o]?[()\[\]DPpOo/\\|*3]|\bm\(|\^_?\^|<3|¯\\_\(ツ\)_/¯|\bo_O|\bO_o|\bx[dD]\b|\bXD\b|\\o/)")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _LONG_WORD = re.compile(r"[^\W\d_]{4}")
 _QUOTES = re.compile("[\"„“«»‚]")
 _QUOTE = re.compile(r"\"[^\"]*\"|„[^“”\"]*[“”\"]|“[^”]*”|«[^»]*»|»[^«]*«|‚[^‘’]*[‘’](?!\w)")
@@ -33,31 +38,32 @@ _STAND_INS = frozenset(
     .replace("    ", "").split("|")
 )
 
-# Phrases of refusals in the languages of the corpus.
-_REFUSALS = """
-ablehnen|nicht weiterhelfen|nicht helfen|nicht behilflich sein|keine meinung abgeben|keine meinung äußern|keinen kommentar|kein kommentar abgeben|keinen text|keinen beitrag|keinen ironischen|keinen satirischen|keine satire|ist es mir nicht möglich|nicht dazu äußern
-|mich dazu nicht äußern|nicht in der lage|nicht kommentieren|nicht beantworten|nicht erfüllen|darf ich nicht|möchte ich nicht|kann ich nicht|werde ich nicht|nichts schreiben|nichts sagen|verfassen|keine auskunft
-|can't help|cannot help|can not help|can't assist|cannot assist|can not assist|unable to|not able to|won't be able|will not be able|can't write|cannot write|can't comment|cannot comment|can't provide|cannot provide|can't produce|cannot produce|can't create|cannot create|can't generate|cannot generate
-|can't fulfill|cannot fulfill|can't do that|cannot do that|can't make fun|cannot make fun|don't feel comfortable|not comfortable|must decline|have to decline|i decline|can't engage|cannot engage|can't discuss|cannot discuss|prefer not to|against my guidelines|i won't|i will not|can't answer|cannot answer|can't complete|cannot complete
-|je ne peux pas|je ne suis pas en mesure|je refuse|je dois refuser|je dois décliner|il m'est impossible|je ne souhaite pas|je regrette
-|no puedo|no me es posible|debo rechazar|no estoy en condiciones|lo siento, pero
-|non posso|non sono in grado|devo rifiutare|non mi è possibile|mi dispiace, ma
-|kan ik niet|ik kan niet|ik kan hier|ik kan geen|moet ik weigeren|niet mogelijk om|het spijt me|ik wil geen|niet helpen
-
-nicht|kein|keine|keinen|keinem|keiner|nichts|verweigern|not|can't|cannot|won't|unable|decline|refuse|pas|refuse|refuser|décliner|no|rechazar|non|rifiutare|niet|geen|weigeren
+# Fixed values, by class: who speaks, in which mood, what is denied, and the acts that an answer consists of. A star stands
+# for any ending of the word.
+_SPEAKER = "ich|mir|mich|mein*|wir|uns|unser*|i|i'm|i'd|i've|my|me|we|our|je|j'*|m'*|moi|mes|mon|ma|nous|me|mi|mis|yo|mio|mia|miei|mie|ik|mij|mijn|ons|kunnen we"
+_MOOD = """
+kann|können|könnte|darf|dürfen|möchte|möchten|will|wollen|werde|werden|muss|müssen|vermag|soll
+|can|can't|cannot|could|may|must|will|won't|would|able|unable|feel|comfortable|permitted|allowed|have to|going to
+|peux|pouvons|puis|dois|devons|souhaite|veux|vais|mesure|puedo|podemos|debo|debemos|quiero|voy a|posso|possiamo|devo|dobbiamo|voglio|grado
+|kan|kunnen|mag|mogen|wil|willen|zal|moet|moeten
+"""
+#: Moods whose act may follow behind a comma.
+_OPEN = "möglich|lage|gestattet|erlaubt|erlauben|bereit|untersagt|außerstande|impossible|possible|posible|condiciones|possibile|mogelijk|staat|informationen vor"
+_DENIAL = "nicht|kein*|nichts|weder|untersagt|außerstande|not|no|can't|cannot|won't|don't|unable|never|ne|n'*|pas|impossible|aucun*|non|niet|geen|niets|nessun*|ningún|ninguna"
+_ACT = """
+helfen|weiterhelfen|behilflich|unterstützen|äußern|kommentieren|beantworten|beantwortet|bearbeiten|bearbeitet|erfüllen|erfüllt|verfassen|schreiben|erstellen|liefern|formulieren|vornehmen|abgeben|nachkommen|stellung nehmen|stellung beziehen|antworten|eingehen|dienen|generieren|erzeugen|beitragen|dazu etwas sagen|dazu nichts sagen|hierzu nichts sagen|mitwirken
+|help|assist|write|comment|provide|produce|create|generate|fulfill|fulfil|answer|discuss|engage|take a position|take a stance|make fun|making fun|complete|do that|do this|respond|support|offer an opinion|give an opinion|share an opinion|comply|writing|commenting|answering
+|aider|écrire|rédiger|commenter|répondre|fournir|produire|générer|prendre position|traiter|satisfaire|plaisanter|donner suite
+|ayudar|ayudarte|ayudarle|escribir|redactar|comentar|responder|proporcionar|generar|opinar|atender|contestar|tomar posición|bromear|hacer bromas
+|aiutare|aiutarti|aiutarla|scrivere|redigere|commentare|rispondere|fornire|generare|esprimermi|prendere posizione|scherzare|soddisfare
+|helpen|schrijven|reageren|beantwoorden|geven|leveren|opstellen|innemen|maken|voldoen|uitlaten|assisteren
 """
-#: Openings with which the writer speaks as an assistant, or apologises in the first person; with a denial in the same sentence they are a refusal.
-_OPENINGS = """
-tut mir leid|leider muss ich|leider kann ich|leider darf ich|leider ist es mir|leider möchte ich|leider werde ich|als ki|als virtueller|als sprachmodell|als assistent|als künstliche|nach meinen vorgaben|meinen richtlinien|meine richtlinien|meiner richtlinien|meinen regeln|meine regeln|meine vorgaben|meine programmierung|ich bedaure|ich bitte um verständnis|es ist mir nicht
-|i'm sorry|i am sorry|i'm afraid|i am afraid|i apologize|i apologise|as an ai|as a language model|as an assistant|as a virtual|i cannot|i can't|i won't|i must|i am not able|i'm not able|i am unable|i'm unable|i don't feel|i do not feel|my guidelines
-|désolé|désolée|je suis désolé|je regrette|en tant qu'ia|en tant que modèle|en tant qu'assistant|je ne peux|je dois|il m'est
-|lo siento|lamento|como modelo|como ia|como asistente|no puedo|debo
-|mi dispiace|come modello|come ia|come assistente|non posso|devo
-|het spijt|als taalmodel|ik kan
+_DECLINE = "ablehnen|verweigern|decline|refuse|refuser|décliner|rechazar|declinar|rifiutare|declinare|weigeren|afwijzen|lehne|verweigere"
+#: What is declined, so that refusing in general (a law, an offer) is none.
+_TASK = """
+aufgabe|anfrage|bitte|auftrag|antwort|beitrag|kommentar|text|thema|wunsch|anliegen|request|task|topic|question|prompt|answer|comment|demande|tâche|question|sujet|requête
+|solicitud|petición|tarea|pregunta|tema|richiesta|compito|domanda|argomento|verzoek|vraag|taak|opdracht|onderwerp
 """
-#: Weaker openings, which must begin the sentence and need the first person in it as well.
-_WEAK = "leider|entschuldigung|sorry|pardon|apologies|unfortunately|regrettably|malheureusement|désolé|désolée|lamentablemente|por desgracia|purtroppo|spiacente|helaas"
-_FIRST_PERSON = re.compile(r"\b(?:ich|mir|mich|i|je|j'ai|yo|puedo|io|posso|ik|mijn)\b")
 
 
 def _phrases(text: str) -> list[str]:
@@ -65,46 +71,63 @@ def _phrases(text: str) -> list[str]:
 
 
 class Refusals:
-    """Automata over normalised sentences for who speaks and for what is denied.
+    """An automaton over the word classes of a clause: a first person, a mood, a denial and an act of answering.
 
-    The openings are looked for in the whole text first, quotations included: without any there is no refusal, and
-    hardly a text has one.
+    Acts are infinitives, or participles with a denial ("wird nicht beantwortet"). Where the mood is an adjective the act
+    may stand in the next clause ("es ist mir nicht möglich, ..."). Declining counts with a first person and what is
+    declined. Without a first person, or with an act that is not answering, nothing is a refusal. Quotations do not count.
     """
 
+    CLASSES = (_SPEAKER, _MOOD, _OPEN, _DENIAL, _ACT, _DECLINE, _TASK)
+    SPEAKER, MOOD, OPEN, DENIAL, ACT, DECLINE, TASK = (1 << i for i in range(7))
+    _CLAUSE = re.compile(r"[,;:–—()]|\s-\s|\b(?:aber|denn|but|mais|pero|maar|weil|dass|because)\b")
+
     def __init__(self) -> None:
-        self.openings = _automaton([(p, 2) for p in _phrases(_OPENINGS)] + [(p, 4) for p in _phrases(_WEAK)])
-        self.denials = _automaton([(p, 1) for p in _phrases(_REFUSALS)])
+        import ahocorasick
+
+        kinds: dict[str, int] = {}
+        for i, words in enumerate(self.CLASSES):
+            for w in _phrases(words):
+                kinds[w] = kinds.get(w, 0) | 1 << i
+        self.automaton = ahocorasick.Automaton()
+        self.acts: set[str] = set()  # a text without an act or a declining word needs no second look
+        for w, kind in kinds.items():
+            stem = w.rstrip("*")
+            self.automaton.add_word(stem, (kind, len(stem), w != stem))
+            if kind & (self.ACT | self.DECLINE):
+                self.acts.add(_LETTERS.match(stem).group())
+        self.automaton.make_automaton()
+
+    def classes(self, clause: str) -> int:
+        found = 0
+        for end, (kind, n, open_end) in self.automaton.iter(clause):
+            at = end - n + 1
+            before, after = clause[at - 1] if at else " ", clause[end + 1] if end + 1 < len(clause) else " "
+            if not (before.isalpha() or before == "'") and (open_end or not (after.isalpha() or after == "'")):
+                found |= kind
+        return found
 
     def found(self, text: str) -> bool:
         low = text.lower().replace("’", "'")
-        if not any(True for _ in self.openings.iter(low)):
+        if self.acts.isdisjoint(_LETTERS.findall(low)):
             return False
         for sentence in re.split(r"(?<=[.!?])\s+|\n+", _QUOTE.sub(" ", low)):
-            speaks = {kind for kind, at in _whole(self.openings, sentence) if kind == 2 or not any(c.isalnum() for c in sentence[:at])}
-            if (2 in speaks or (4 in speaks and _FIRST_PERSON.search(sentence))) and any(True for _ in _whole(self.denials, sentence)):
-                return True
+            carried = 0
+            for clause in self._CLAUSE.split(sentence):
+                c = self.classes(clause)
+                acts = c & self.ACT and not re.search(r"\bmir (?:nicht|kaum) helfen|help (?:but|it|laughing)\b", clause)
+                if c & self.SPEAKER and c & self.DENIAL and c & (self.MOOD | self.OPEN) and acts:
+                    return True
+                if carried and acts:
+                    return True
+                if c & self.SPEAKER and c & self.DECLINE and (c & self.TASK or acts):
+                    return True
+                if acts and c & self.SPEAKER and c & self.DENIAL and c & self.TASK and re.search(r"\b(?:wird|werden|wurde)\b", clause):
+                    return True
+                carried = c & self.SPEAKER and c & self.DENIAL and c & self.OPEN
         return False
 
 
-def _automaton(phrases: list[tuple[str, int]]):  # noqa: ANN202
-    import ahocorasick
-
-    a = ahocorasick.Automaton()
-    for phrase, kind in phrases:
-        a.add_word(phrase, (kind, len(phrase)))
-    a.make_automaton()
-    return a
-
-
-def _whole(automaton, sentence: str) -> Iterator[tuple[int, int]]:  # noqa: ANN001
-    """(kind, start) of the phrases that stand as whole words."""
-    for end, (kind, n) in automaton.iter(sentence):
-        at = end - n + 1
-        after = sentence[end + 1 : end + 2]
-        if not (after.isalpha() or after == "'" or sentence[max(0, at - 1) : at].isalpha()):
-            yield kind, at
-
-
 class SuffixAutomaton:
     """The suffix automaton of a word sequence."""
 
@@ -173,14 +196,19 @@ def copied(comment: str, topic: str | None, context: str | None) -> float:
 
 
 _SINGLE = re.compile(r"(?:(?:danke|dank|thx|thanks|merci)\b[^.!?]{0,60}|\([^()]*\)|\[[^\[\]]*\]|#\w+(?:\s+#\w+)*|[\U0001F300-\U0001FAFF☀-➿️]+|\*[\w ]+\*|</?\w+>|\b(?:ts|tja|hach|ohne worte|no comment|sic)!?)$", re.I)
-_DONE = re.compile(r"[.!?…‽][\"”“’‘»«)\]\s*_]*$")
 _URL = re.compile(r"(?:https?://|www\.)\S*$", re.I)
 _FULL_URL = re.compile(r"^(?:https?://|www\.)[^\s/]+\.[a-z]{2,}(?::\d+)?/\S{3,}$", re.I)
 _PAIRS = {")": "(", "]": "[", "}": "{", "“": "„", "”": "“", "»": "«"}
 
 
-_ENDS_WITH_SMILEY = re.compile(r"(?:" + _SMILEY.pattern + r")[\s.!]*$")
+_LAST_SMILEY = re.compile(r"(?:" + _SMILEY.pattern + r")$")
 _DELIMITER = re.compile("[(\\[{„«\"“]")
+_CLOSERS = "\"”“’‘»«)]_* \t\r\n"
+
+
+def _done(text: str) -> bool:
+    """A sentence sign, then only closing signs."""
+    return text.rstrip(_CLOSERS)[-1:] in tuple(".!?…‽")
 
 
 def truncated(comment: str) -> bool:
@@ -188,9 +216,10 @@ def truncated(comment: str) -> bool:
     text = comment.strip()
     if _DELIMITER.search(text) and _open(_SMILEY.sub(" ", text)):
         return True
-    smiley = bool(_ENDS_WITH_SMILEY.search(text[-24:]))
-    rest = (text[:-24] + _SMILEY.sub(" ", text[-24:])).rstrip()
-    while not _DONE.search(rest[-16:]) and (m := _SINGLE.search(rest)) is not None:
+    smiley, rest = False, text
+    while m := _ends_with(_LAST_SMILEY, rest.rstrip(" \t\r\n.!")):
+        smiley, rest = True, rest[: m].rstrip()
+    while rest and not _done(rest) and (m := _SINGLE.search(rest)) is not None:
         smiley, rest = True, rest[: m.start()].rstrip()
     if not rest:
         return False
@@ -199,9 +228,15 @@ def truncated(comment: str) -> bool:
     if u:  # an address breaks off if its host does, or if it ends without a sign and is no whole address
         address = u.group().rstrip(".!?…,;:\"“”’)]")
         return "." not in address.split("//")[-1].split("/")[0] or (address == u.group() and not _FULL_URL.match(address))
-    if _DONE.search(rest[-16:]):
-        return False
-    return not smiley
+    return not _done(rest) and not smiley
+
+
+def _ends_with(pattern: re.Pattern, text: str) -> int | None:
+    """Where the match at the end of ``text`` begins; None without. No smiley is longer than 12 characters."""
+    for at in range(max(0, len(text) - 12), len(text)):
+        if pattern.match(text, at) and (at == 0 or not (text[at].isalpha() and text[at - 1].isalnum())):
+            return at
+    return None
 
 
 def _open(text: str) -> bool:
@@ -241,11 +276,11 @@ def _open(text: str) -> bool:
 # Stopwords that belong to one of the languages only.
 _STOPWORDS = {
     "de": "der das und ist nicht auf für mit dem den ein eine einer eines einem einen von zu zum zur sich hat haben hatte hatten wird werden wurde auch aus bei nach über vom wegen dass weil wenn schon noch nur ich ihr wir sie er mir mal dann aber oder wie wozu jetzt keine kein keiner sei habe doch jemand seit",
-    "en": "the of and to is that for it with as be this by from or have not but what all were when we there can an your which their said has about nobody why how",
-    "fr": "le les des et est une du pour dans que qui pas sur au aux avec ce cette ont été par plus mais sont leurs dès depuis selon près",
-    "es": "el los las y una por que para del fue está han más según desde pero como aunque también qué ya había sobre es",
-    "it": "il gli che è per una della dei delle di non sono ha più nel anche stato perché secondo questo dal alla ancora molti",
-    "nl": "het een van en is dat niet voor op zijn met ook er wordt heeft hebben naar maar nog wel was al bij deze volgens waarom meer dan te",
+    "en": "the of and to is that for it with as be this by from or have not but what all were when we there can an your which their said has about nobody why how again very just too really never always",
+    "fr": "le les des et est une du pour dans que qui pas sur au aux avec ce cette ont été par plus mais sont leurs dès depuis selon près encore très rien quelle quel",
+    "es": "el los las y una por que para del fue está han más según desde pero como aunque también qué ya había sobre es muy nada siempre",
+    "it": "il gli che è per una della dei delle di non sono ha più nel anche stato perché secondo questo dal alla ancora molti molto niente sempre",
+    "nl": "het een van en is dat niet voor op zijn met ook er wordt heeft hebben naar maar nog wel was al bij deze volgens waarom meer dan te gewoon heel weer altijd niets",
 }
 _OWNER: dict[str, list[str]] = {}
 for _lang, _list in _STOPWORDS.items():
@@ -253,26 +288,39 @@ for _lang, _list in _STOPWORDS.items():
         _OWNER.setdefault(_w, []).append(_lang)
 
 
-def foreign(comment: str) -> bool:
-    """The stopwords of the writer's own text, outside quotations, vote for another language than German."""
+#: Where fewer stopwords than this vote, the word pieces decide, from this posterior of another language, or below this
+#: posterior of German if the one vote is for another language.
+LEAST_VOTES, LEAST_PIECES, MOST_GERMAN = 2, 0.9, 0.2
+
+
+def foreign(comment: str, pieces: PieceModel | None = None) -> bool:
+    """The stopwords of the writer's own text, outside quotations, vote for another language than German; where hardly any
+    stopword stands, the word pieces of ``pieces`` decide, and without it nothing does."""
     own = (_QUOTE.sub(" ", comment) if _QUOTES.search(comment) else comment).lower()
     votes = dict.fromkeys(_STOPWORDS, 0.0)
-    for w in re.findall(r"[^\W\d_]+", own):
+    for w in _LETTERS.findall(own):
         for lang in (owners := _OWNER.get(w, ())):
             votes[lang] += 1 / len(owners)
     best = max((v, k) for k, v in votes.items() if k != "de")
+    if pieces is not None and sum(votes.values()) < LEAST_VOTES:
+        ws = words(own)
+        if len(ws) < 2:
+            return False
+        post = dict(zip(LANGUAGES, pieces.posterior(ws)))
+        return max(v for k, v in post.items() if k != "de") >= LEAST_PIECES or (best[0] >= 1 and votes["de"] == 0 and post["de"] < MOST_GERMAN)
     return best[0] >= 2 and best[0] > 1.5 * votes["de"]
 
 
 class Judge:
-    def __init__(self) -> None:
-        self.refusals = Refusals()
+    def __init__(self, pieces: PieceModel | None = None) -> None:
+        self.refusals, self.pieces = Refusals(), pieces
 
     def defect(self, comment: str | None, topic: str | None, context: str | None) -> str | None:
         if comment is None:
             return "empty"
         text = _MARK.sub("", _MARK.sub("", comment))
-        if len(text) <= 60 or not _LONG_WORD.search(text):
+        # no smiley holds a word of four letters and no stand-in has five words
+        if len(list(islice(_LONG_WORD.finditer(text), 5))) < 5:
             ws = _WORD.findall(_SMILEY.sub(" ", text).lower())
             if not ws or " ".join(ws) in _STAND_INS:
                 return "empty"
@@ -282,20 +330,23 @@ class Judge:
             return "copy"
         if truncated(text):
             return "truncated"
-        if foreign(text):
+        if foreign(text, self.pieces):
             return "other_language"
         return None
 
 
-def find_broken(pairs: DataFrame, key: str, topic: str, context: str, response: str) -> DataFrame:
-    """(key, defect) of every defective pair, one row per input row.
+def find_broken(pairs: DataFrame, key: str, topic: str, context: str, response: str, pieces: PieceModel | None = None) -> DataFrame:
+    """(key, defect) of every defective pair, one row per input row. ``pieces``, the model of problem 6, judges the language
+    of responses in which hardly a stopword stands.
 
     Null and blank responses are ``empty``; null or empty topics and contexts copy nothing; repeated rows are cases of
     their own; a null key is returned as null. Empty input gives no rows.
     """
 
+    shared = pairs.sparkSession.sparkContext.broadcast((pieces.pieces, pieces.floor, pieces.vocabulary)) if pieces else None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = Judge()
+        judge = Judge(PieceModel(*shared.value) if shared else None)
         known: dict[tuple, str | None] = {}
         for b in batches:
             keep, found = [], []

@@ -60,9 +60,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    from quillspark.llm.language import fit, sample_texts
     from quillspark.llm.pairs import find_broken
 
-    return find_broken(_table(spark, d, "fefe_training_data"), "row_id", "topic", "context", "target_comment")
+    pieces = fit(sample_texts(_table(spark, d, "documents"), "doc_id", "text", "lang"))
+    return find_broken(_table(spark, d, "fefe_training_data"), "row_id", "topic", "context", "target_comment", pieces)
 
 
 def _p6_detected(spark: SparkSession, d: str) -> DataFrame:

@@ -17,6 +17,10 @@ GERMAN = "Das Beste daran: die Kontolücke läuft seit 2008 ohne jede Prüfung."
         (GERMAN + " Von 70 Geräten für das Z", "t", "c", "truncated"), (GERMAN + ' Er sagte: "Wir haben', "t", "c", "truncated"), (GERMAN + " Und weiter: https://münzbla", "t", "c", "truncated"), (GERMAN + " Das ist nett (wie immer", "t", "c", "truncated"), (GERMAN + " Ein Leser schreibt mir,", "t", "c", "truncated"),
         (GERMAN + " :-)", "t", "c", None), (GERMAN + " m(", "t", "c", None), (GERMAN + " ¯\\_(ツ)_/¯", "t", "c", None), (GERMAN + " (Danke, an alle!)", "t", "c", None), (GERMAN + " Tja...", "t", "c", None), (GERMAN + " Update: Es geht weiter.", "t", "c", None),
         ("The council of Grayford voted to keep the router platform for another year.", "t", "c", "other_language"), ("Nessuno a Castelnero vuole pagare per questo, anche se il consiglio insiste.", None, None, "other_language"),
+        ("Ich möchte zu diesem Thema keinen satirischen Text verfassen.", "t", "c", "refusal"), ("Das kann ich so nicht schreiben, denn es könnte jemanden verletzen.", "t", "c", "refusal"), ("Dazu liegen mir keine Informationen vor, daher kann ich keinen Kommentar schreiben.", "t", "c", "refusal"),
+        ("Als Assistent möchte ich dazu keinen Text erzeugen.", "t", "c", "refusal"), ("Unfortunately I must decline to produce satire about that.", "t", "c", "refusal"), ("Aus Gründen der Neutralität ist es mir nicht möglich, einen Kommentar zu liefern.", "t", "c", "refusal"),
+        ("Das verkauft Microsoft jetzt als KI, aber das ist nicht neu.", "t", "c", None), ("Leider kann ich den Artikel nicht mehr finden, aber lest selbst.", "t", "c", None), ("Als Assistent taugt das Ding übrigens nicht.", "t", "c", None),
+        ("Meine Regeln sind einfach: kein Windows, kein Outlook.", "t", "c", None), ("Ich bedaure das überhaupt nicht.", "t", "c", None), ("Ich kann nicht glauben, dass die nichts schreiben.", "t", "c", None), ("Ich kann mir nicht helfen, das ist lustig.", "t", "c", None),
         (GERMAN + ' Zitat: "The council of the city voted to keep it."', "t", "c", None), (GERMAN, GERMAN + " Und mehr davon.", "", "copy"), (GERMAN, None, None, None),
     ],
 )
@@ -24,6 +28,26 @@ def test_defects(comment, topic, context, defect):
     assert Judge().defect(comment, topic, context) == defect
 
 
+@pytest.fixture(scope="module")
+def pieces():
+    import duckdb
+
+    from quillspark.llm.language import LANGUAGES, fit
+
+    rows = duckdb.sql("select lower(trim(lang))[1:2], text from '/root/testdata/sf0.01/documents.parquet' where lang is not null").fetchall()
+    return fit({one: [t for lang, t in rows if lang == one] for one in LANGUAGES})
+
+
+@pytest.mark.parametrize("comment", ["Qué vergüenza.", "Typical nonsense again.", "Belachelijk gewoon."])
+def test_short_foreign_answers(pieces, comment):
+    assert Judge(pieces).defect(comment, "t", "c") == "other_language"
+
+
+@pytest.mark.parametrize("comment", ["Finde ich super.", "Kannste dir nicht ausdenken.", "Na toll.", "Tolle Wurst.", "Popcorn!"])
+def test_short_german_answers(pieces, comment):
+    assert Judge(pieces).defect(comment, "t", "c") is None
+
+
 def test_automaton_equals_brute_force():
     r = random.Random(3)
     for _ in range(60):
