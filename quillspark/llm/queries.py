@@ -47,10 +47,10 @@ def p3_clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _p4_values(spark: SparkSession, d: str) -> DataFrame:
-    from quillspark.llm.residue import site_of, values_of
+    from quillspark.llm.residue import values_of
 
-    pages = values_of(_table(spark, d, "externalsources"), "externalsources", "source_id", ["title", "description"], site_of(F.col("url")))
-    return pages.unionByName(values_of(_table(spark, d, "fefe_training_data"), "fefe_training_data", "row_id", ["topic"], site_of(F.col("url"))))
+    pages = values_of(_table(spark, d, "externalsources"), "externalsources", "source_id", ["title", "description"], F.col("url"))
+    return pages.unionByName(values_of(_table(spark, d, "fefe_training_data"), "fefe_training_data", "row_id", ["topic"], F.col("url")))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

@@ -1,10 +1,9 @@
 """Problem 4: template residue, filler, error pages and script notices in place of content.
 
 Each value is normalised: case and Unicode form, site names and ornaments at its ends, and numbers, addresses and dates
-masked. Exact hashes of the normal form are grouped over all sources with map-side pre-aggregation, so that the rules run
-once per distinct message and every message knows how often and in how many sources it recurs. A message is residue if it
-holds an unfilled placeholder, if its whole is one of the message forms below, or if it recurs in several sources and
-consists of message phrases to a large part.
+masked. The exact hashes of the normal forms of all values are grouped over all hosts with map-side pre-aggregation. A
+value is residue if it holds an unfilled placeholder, if its whole is one of the message forms below, or if its form recurs
+on several hosts, is spelled by no address, as headlines are, and is worded like a notice.
 """
 
 from __future__ import annotations
@@ -98,11 +97,26 @@ FILLER_WORDS = (
     "duis|aute|irure|in|reprehenderit|voluptate|velit|esse|cillum|eu|fugiat|nulla|pariatur|excepteur|sint|occaecat|cupidatat|non|proident|sunt|culpa|qui|officia|deserunt|mollit|anim|id|laborum)(?![\\p{L}])"
 )
 
-PHRASE_WORDS = (
-    "(?<![\\p{L}])(?:java ?script|skripte?n?|scripts?|scripting|enable|aktivieren|einschalten|browser|cookies?|error|fehler|fehlercode|erreur|errore|exception|timeout|gateway|forbidden|denied|verweigert|"
-    "unavailable|nicht gefunden|not found|introuvable|maintenance|wartung|captcha|session|sitzung|log ?in|anmelden|refresh|reload|neu laden|try again|erneut versuchen|placeholder|platzhalter|blindtext|lorem|ipsum|"
-    "dolor|untitled|unbenannt|replace|ersetzen|goes here|insert|settings panel|requests|permission|database|connection)(?![\\p{L}])"
+# Word classes of notices, for messages that no form lists. A form that recurs on many hosts is a notice if it
+# says that something fails (_FAILS) or speaks of the means (_MEANS), and also holds a word of another class.
+_FAILS = (
+    "\\b(?:not available|no longer|unavailable|not (?:be )?found|does ?n[o']t exist|nicht (?:mehr )?(?:verfügbar|gefunden|erreichbar|vorhanden|möglich|erlaubt|geladen)|existiert nicht|removed|deleted|expired|denied|forbidden|blocked|restricted|failed|gelöscht|entfernt|abgelaufen|"
+    "verweigert|gesperrt|fehlgeschlagen|error|fehler|erreur|errore|fout|erro|introuvable|indisponible|n'existe|supprimée?|expirée?|refusée?|bloquée?|no (?:está |se encuentra )?disponible|(?:no|não) encontrad[oa]|no existe|eliminad[oa]|caducad[oa]|denegad[oa]|"
+    "não (?:está )?disponível|non (?:è )?(?:più )?disponibile|non trovat[oa]|non esiste|rimoss[oa]|scadut[oa]|negat[oa]|niet (?:meer )?(?:beschikbaar|gevonden|bereikbaar)|bestaat niet|verwijderd|verlopen|geweigerd|geblokkeerd|try again|erneut versuchen|réessayer|riprova|opnieuw)\\b"
 )
+_MEANS = (
+    "\\b(?:java ?script|scripts?|browser|navigateur|navegador|cookies?|captcha|log ?in|sign ?in|logged in|register|subscribe|anmelden|einloggen|registrieren|abonnieren|connecter|connectez|connexion|inscrire|iniciar sesión|inicia sesión|acceda|regístrese|accedere|accedi|registrati|inloggen|aanmelden|"
+    "redirect(?:ed|ing)?|weitergeleitet|redirigée?|loading|wird geladen|chargement|cargando|caricamento|session|sitzung|timeout|gateway|server|datenbank|database|maintenance|wartung|robot|verify|access|zugriff|accès|acceso|accesso|toegang|permission|enable|disabled?|aktivieren|activer|activar|attivare)\\b"
+)
+_PLACE = (
+    "\\b(?:page|site|website|webseite|seite|angebot|offer|inhalte?|content|artikel|article|story|video|vidéo|document|dokument|link|url|account|konto|compte|cuenta|página|pagina|sitio|sito|contenido|contenu|contenuto|inhoud|artículo|articolo|land|country|region|pays|país|paese)\\b"
+)
+_THIS = "\\b(?:this|that's|diese[mnrs]?|hier|here|cette|cet|ici|este|esta|aquí|quest[oa]|qui|deze|dit|deze)\\b"
+_READER = "\\b(?:you|your|please|sie|ihr(?:e[mnrs]?)?|bitte|vous|votre|veuillez|usted|su|por favor|per favore|tuo|tua|uw|alstublieft|must|müssen|devez|debe|devi|moet)\\b"
+#: What reports about a notice, so that it is a headline.
+_REPORTS = "^(?:kommentar|bericht|report|comment|opinion|analyse|interview|umfrage|urteil|streit): |,? (?:sagt|sagen|meint|warnt|laut|says|said|warns|dit|dice|zegt|according to|selon|según|secondo|volgens) "
+#: Hosts on which a form must stand to recur widely, and slug words from which an address can be compared with a value.
+LEAST_SOURCES, LEAST_SLUG = 3, 3
 
 _FORM = "\\p{Z}\\s"
 
@@ -141,10 +155,33 @@ def site_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, "^(?:[a-zA-Z]+:)?//([^/?#]+)", 1))
 
 
-def values_of(table: DataFrame, name: str, key: str, fields: list[str], source: Column) -> DataFrame:
-    """(table_name, record_id, field_name, value, source) of all non-null values of ``fields``."""
+def _latin(value: Column) -> Column:
+    """Lower case with the spelling of addresses: umlauts as two letters, other letters without accents."""
+    v = F.translate(F.lower(value), "áàâãåéèêëíìîïóòôõúùûñçýÿ", "aaaaaeeeeiiiioooouuuncyy")
+    for letter, two in (("ä", "ae"), ("ö", "oe"), ("ü", "ue"), ("ß", "ss")):
+        v = F.replace(v, F.lit(letter), F.lit(two))
+    return v
+
+
+def tied_to(value: Column, page: Column) -> Column:
+    """Whether the address of ``page`` spells the value: at least half of its words, if it has LEAST_SLUG; never null."""
+    path = F.regexp_replace(F.lower(page), "^(?:[a-z]+:)?//[^/?#]*|[?#].*$|\\.[a-z]+$", "")
+    slug = F.array_distinct(F.regexp_extract_all(path, F.lit("([a-z]{3,})"), F.lit(1)))
+    spelled = lambda ws: F.size(F.array_intersect(ws, F.split(_latin(value), "[^a-z]+"))) * 2 >= F.size(ws)
+    return F.coalesce(F.exists(F.array(slug), lambda ws: (F.size(ws) >= LEAST_SLUG) & spelled(ws)), F.lit(False))
+
+
+def is_notice(form: Column) -> Column:
+    """A form that says what fails or with which means, also speaks of a place, of the reader or of both kinds, and reports
+    of nobody."""
+    one = lambda pattern: form.rlike(pattern).cast("int")
+    return form.rlike(_FAILS + "|" + _MEANS) & (one(_FAILS) + one(_MEANS) + one(_PLACE) + one(_THIS) + one(_READER) >= 2) & ~form.rlike(_REPORTS)
+
+
+def values_of(table: DataFrame, name: str, key: str, fields: list[str], page: Column) -> DataFrame:
+    """(table_name, record_id, field_name, value, page) of all non-null values of ``fields``; page is the address."""
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("value")) for f in fields]))
-    return table.select(F.lit(name).alias("table_name"), F.col(key).alias("record_id"), source.alias("source"), pairs.alias("v")).select("table_name", "record_id", "v.field_name", "v.value", "source").where("value is not null")
+    return table.select(F.lit(name).alias("table_name"), F.col(key).alias("record_id"), page.alias("page"), pairs.alias("v")).select("table_name", "record_id", "v.field_name", "v.value", "page").where("value is not null")
 
 
 def is_placeholder(value: Column) -> Column:
@@ -170,24 +207,40 @@ def residue_rules(value: Column) -> Column:
     return is_placeholder(value) | worded
 
 
-def find_residue(values: DataFrame, least_sources: int = 3, least_phrases: float = 0.3) -> DataFrame:
-    """(table_name, record_id, field_name, rule) of the values that are no content.
-
-    ``values`` comes from ``values_of``. rule is placeholder, message or recurring. Recurring are forms found in
-    ``least_sources`` or more sources of which ``least_phrases`` of the characters are message phrases. Null and empty
-    values, and values of blanks only, are no cases; repeated rows are cases of their own. Empty input gives no rows.
-    """
+def judged_values(values: DataFrame) -> DataFrame:
+    """Of every value what the rules say of it, the hashes of its masked form and of its host, whether its address spells it,
+    and the form itself where it still may be a notice."""
     d = computed(values.where(F.length(F.trim("value")) > 0), spelled=_spelled(F.col("value")))
     d = computed(d, whole=_masked(F.col("spelled")), sited=F.col("spelled").rlike(_SITE))
     d = computed(d, form=F.when(F.col("sited"), _masked(F.regexp_replace("spelled", _SITE, ""))).otherwise(F.col("whole")))
     form = F.col("form")
     message = form.rlike(MESSAGE) | (F.col("sited") & F.col("whole").rlike(MESSAGE)) | is_filler(form)
-    spoken = (F.length(form) - F.length(F.regexp_replace(form, PHRASE_WORDS, ""))) / F.greatest(F.length(form), F.lit(1))
-    rule = F.when(is_placeholder(F.col("value")), "placeholder").when(message, "message").when(spoken >= least_phrases, "worded")
-    suspects = computed(d, rule=rule).where("rule is not null")
-    suspects = cut_lineage(suspects.select("table_name", "record_id", "field_name", "source", "rule", "form"))
-    worded = suspects.where("rule = 'worded'").withColumn("form_hash", F.xxhash64("form"))
-    spread = worded.groupBy("form_hash", "form").agg(F.approx_count_distinct("source").alias("sources"))
-    recurring = spread.where(F.col("sources") >= least_sources).select("form_hash", "form")
-    again = worded.join(recurring, ["form_hash", "form"], "left_semi").select("table_name", "record_id", "field_name", F.lit("recurring").alias("rule"))
-    return suspects.where("rule <> 'worded'").select("table_name", "record_id", "field_name", "rule").unionByName(again)
+    rule = F.when(is_placeholder(F.col("value")), "placeholder").when(message, "message")
+    d = computed(d, rule=rule, tied=tied_to(F.col("spelled"), F.col("page")))
+    open_form = F.when(F.col("rule").isNull() & ~F.col("tied"), form)
+    return d.select("table_name", "record_id", "field_name", "rule", "tied", F.xxhash64("form").alias("hash"), F.xxhash64(site_of(F.col("page"))).alias("source"), open_form.alias("form"))
+
+
+def recurring_forms(judged: DataFrame, least_sources: int = LEAST_SOURCES) -> DataFrame:
+    """(hash, sources) of the forms that stand on at least ``least_sources`` hosts and that no address spells.
+
+    Forms are counted per host before the hosts are counted, both with map-side combination, so a form that a third of all
+    values hold, or a host with a third of all values, is no hot key.
+    """
+    hosts = judged.groupBy("hash", "source").agg(F.max("tied").alias("tied"))
+    return hosts.groupBy("hash").agg(F.count(F.lit(1)).alias("sources"), F.max("tied").alias("tied")).where((F.col("sources") >= least_sources) & ~F.col("tied")).select("hash", "sources")
+
+
+def find_residue(values: DataFrame, least_sources: int = LEAST_SOURCES) -> DataFrame:
+    """(table_name, record_id, field_name, rule) of the values that are no content.
+
+    ``values`` comes from ``values_of``. rule is placeholder, message or recurring. Recurring are forms on
+    ``least_sources`` or more hosts that no address spells, as addresses spell headlines, and that are worded like a notice.
+    The hosts are counted over all values. Null and empty values, and values of blanks only, are no cases; a null address
+    counts as one host; repeated rows are cases of their own. Empty input gives no rows.
+    """
+    judged = cut_lineage(judged_values(values))
+    again = judged.where("form is not null").join(recurring_forms(judged, least_sources), "hash", "left_semi")
+    again = computed(again, notice=is_notice(F.col("form"))).where("notice")  # behind the join: a filter would be moved before it
+    columns = ["table_name", "record_id", "field_name"]
+    return judged.where("rule is not null").select(*columns, "rule").unionByName(again.select(*columns, F.lit("recurring").alias("rule")))
