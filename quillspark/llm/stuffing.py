@@ -1,270 +1,318 @@
 """Problem 9: keyword-stuffed and link-list pages.
 
-Word and neighbour counts of the whole corpus are kept in count-min sketches of a fixed size: every partition counts all
-its words into arrays, the arrays are added chunk by chunk, and the sum is broadcast. From it each sentence or line of a
-document gets the mean pointwise mutual information of its neighbouring words. Word salad is incoherent: its neighbours
-tell little about each other. Repeated collocations are the other extreme. Links are not words and are counted apart.
-A document is spam when more than half of its characters are in such units.
+The pairs of neighbouring words of the whole corpus are counted by a hash aggregation; pairs and words that occur once are
+left out, since they say nothing about another text. Each unit (sentence or line) of a document gets, from the counts of all
+other documents, the mean pointwise mutual information of its neighbours and the mean gain in information over the same
+words in reverse order, in which the frequencies of the single words cancel. Word salad is incoherent: its words stand
+together by chance or in any order, while prose of any language has an order. Excessively repeated collocations are pairs
+that a document holds far more often than the corpus. Links are not words and are counted apart. A document is spam when
+more than half of its characters are in such units.
 """
 
 from __future__ import annotations
 
-import math
 import re
-import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-#: Fixed size of the sketches: rows of hash functions, counters per row for words and for pairs of words.
-DEPTH, WORD_WIDTH, PAIR_WIDTH = 2, 1 << 18, 1 << 20
-_CHUNK = 1 << 16
-_SEEDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-
-#: A unit whose function words are below this share is a list of names unless its neighbours cohere.
-LEAST_FUNCTION_SHARE = 0.1
-#: The same for long units with a separator for every three words, whose entries may hold a function word each.
-MOST_FUNCTION_IN_LIST = 0.3
-#: Mean information in nats of neighbours below which a unit without function words is salad. So high that it hardly ever
-#: spares a unit: on the corpus at hand the information does not separate spam (see the README).
-LEAST_PMI = 9.0
-#: Share of a document's words covered by repetitions of one phrase from which the phrase is stuffed.
-MOST_REPEATED = 0.3
-
-#: Frequent function words of the six languages.
-FUNCTION_WORDS = frozenset(
-    """
-    der die das den dem des ein eine einer eines einem einen und oder aber ist sind war waren wird werden wurde wurden hat haben hatte
-    hatten nicht auch auf aus bei bis durch für gegen in im mit nach ohne über um unter von vom vor wegen wie zu zum zur zwischen seit
-    sich sie er es wir ihr ich man dass weil wenn als ob noch nur schon sehr so doch dann da hier wer was wozu sei habe soll sollen will
-    the a an of and or but is are was were be been has have had not also on at by for from in into with after before without about over
-    under that this these those it its he she they we you who which what how why when if than as to will would can could said more no
-    le la les un une du de et ou mais est sont était a ont été pas aussi sur par pour avec dans sans sous que qui ce cette ces il elle ils
-    au aux ne se leur leurs plus
-    el los las una unos del y o pero es son fue han no también sobre por para con en sin que se su sus lo al como más esta este
-    il lo gli i uno dei delle della dello degli e ma è sono stato non anche su per con in senza che si nel nella alla ha hanno al più
-    het een van en of maar is zijn was werd heeft hebben niet ook op bij door voor met in zonder over dat die deze dit er om aan te nog
-    """.split()
-)
-
-_LINK = re.compile(r"(?:https?:)?//\S+|www\.\S+|\]\([^()\s]*\)|\b[\w-]+(?:\.[\w-]+)*\.(?:example|test|invalid|com|org|net|de|info|eu)\b(?:/\S*)?", re.I)
-_DOT = re.compile(r"\.(?:example|test|invalid|com|org|net|de|info|eu)\b", re.I)
+from pyspark.sql import types as T
+
+from quillspark.runtime import cut_lineage
+
+#: Occurrences from which words and pairs are kept.
+LEAST_COUNT = 2
+#: Bound of the counts that are broadcast, in entries of 12 bytes; beyond it they are joined.
+BROADCAST_ENTRIES = 8_000_000
+#: Words of the documents that are judged together where the counts are joined.
+PIECE_WORDS = 1_000_000
+#: Mean gain in nats over the reverse order, and mean information, below which a unit is incoherent.
+LEAST_GAIN, LEAST_PMI = 3.0, 0.0
+#: A pair is repeated in excess if a document holds it so often, and so many times more often than expected.
+LEAST_REPEATS, EXCESS = 3, 10.0
+#: Share of a unit without a sentence end covered by such pairs, and of words covered by one word or pair, from which they are stuffed.
+MOST_COLLOCATIONS, MOST_REPEATED = 0.5, 0.3
+
+_LINK = re.compile(r"(?:https?:)?//\S+|www\.\S+|\]\([^()\s]*\)|(?<![\w@.-])(?:[a-z0-9à-ÿ][a-z0-9à-ÿ-]*\.)+[a-z]{2,}(?:/\S*)?", re.I)
+_DOT = re.compile(r"[a-z0-9à-ÿ]\.[a-z]{2}", re.I)
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
-_UNIT = re.compile(r"\n+|(?<=[.!?…])[\"”“»)]*\s+")
+_STOP = re.compile(r"[.!?…][\"”“»)]*\s+(?=[^\W\d_]|[^\w\s])")
+_ENDS, _CLOSERS = frozenset(".!?…"), "\"”“’»)]"
 _TAGS = re.compile(r"^\W*(?:tags?|keywords?|stichw(?:ö|oe)rter|schlagw(?:ö|oe)rter|labels?|mots-clés|etiquetas|trefwoorden)\s*:", re.I)
+_SEPARATOR = re.compile(r"[,;|/•·»>]|\s[-–*]\s|\(\d+\)")
 
+#: From hashes to their counts in the corpus, 0 where they are not kept.
+Lookup = Callable[[np.ndarray], np.ndarray]
 
-class _Ids:
-    """Stable 64-bit hashes of words, remembered for the words of one task; the memory is emptied when it is large."""
 
-    def __init__(self, limit: int = 400_000) -> None:
-        self.known: dict[str, int] = {}
-        self.limit = limit
+class _Ids(dict):
+    """Stable 64-bit hashes of words, remembered for the words of one task; the memory is emptied when it is large."""
 
-    def __call__(self, ws: list[str]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.limit:
-            known.clear()
-        out = []
-        for w in ws:
-            h = known.get(w)
-            if h is None:
-                b = w.encode("utf-8", "surrogatepass")
-                h = known[w] = zlib.crc32(b) | zlib.adler32(b[::-1]) << 32
-            out.append(h)
-        return np.array(out, dtype=np.uint64)
+    def __missing__(self, word: str) -> int:
+        import xxhash
 
+        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return h
 
-def _slots(h: np.ndarray, d: int, width: int) -> np.ndarray:
-    x = (h ^ (h >> np.uint64(29))) * _SEEDS[d]
-    return ((x ^ (x >> np.uint64(32))) % np.uint64(width)).astype(np.int64)
+    def __call__(self, ws: list[str], limit: int = 400_000) -> np.ndarray:
+        if len(self) > limit:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, ws), np.uint64, len(ws))
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a * np.uint64(0xD6E8FEB86659FD93) + (b ^ (b >> np.uint64(31))) * np.uint64(0xA0761D6478BD642F)
 
 
-def corpus_counts(corpus: DataFrame, text: str) -> dict[str, np.ndarray]:
-    """Count-min sketches of all words and all pairs of neighbours within a line; ``total`` words.
+def _may_link(text: str) -> bool:
+    """Whether ``_LINK`` can match: a cheap test for the texts without links."""
+    return "//" in text or "www." in text.lower() or "](" in text or bool(_DOT.search(text))
+
+
+def _units(text: str) -> Iterator[str]:
+    for line in text.split("\n"):
+        last = 0
+        for m in _STOP.finditer(line):
+            yield line[last : m.end()]
+            last = m.end()
+        yield line[last:]
+
 
-    What reaches the driver has the fixed size of the sketches, whatever the corpus.
+class _Words:
+    """The units of a batch of texts, their words, and which words are neighbours."""
+
+    def __init__(self, texts: list[str], ids: _Ids) -> None:
+        self.ws: list[str] = []
+        self.units: list[tuple[str, str, int, int]] = []  # text, text without links, size of the links, links
+        start, first = [], []
+        for text in texts:
+            first.append(len(self.units))
+            linking = _may_link(text)
+            for raw in _units(text):
+                if unit := raw.strip():
+                    rest, links = _LINK.subn(" ", unit) if linking else (unit, 0)
+                    start.append(len(self.ws))
+                    self.units.append((unit, rest, len(unit) - len(rest) + links, links))
+                    self.ws += _WORD.findall(rest.lower())
+        self.first = np.array([*first, len(self.units)], np.int64)
+        self.start = np.array([*start, len(self.ws)], np.int64)
+        self.h = ids(self.ws)
+        self.left = np.ones(max(0, len(self.ws) - 1), bool)  # words with a neighbour behind them in the same unit
+        inner = self.start[(self.start > 0) & (self.start < len(self.ws))]
+        self.left[inner - 1] = False
+        self.at = np.flatnonzero(self.left)
+
+    def forward(self) -> np.ndarray:
+        return _pairs(self.h[self.at], self.h[self.at + 1])
+
+    def reverse(self) -> np.ndarray:
+        return _pairs(self.h[self.at + 1], self.h[self.at])
+
+
+def corpus_counts(texts: DataFrame) -> DataFrame:
+    """(hash, n) of all words and pairs of neighbours of the column ``t`` that occur at least LEAST_COUNT times.
+
+    Every batch sends each of its words and pairs once, with its count; Spark combines them before and after the shuffle.
+    The hash 0 stands for the number of all words.
     """
-    sizes = [DEPTH * WORD_WIDTH, DEPTH * PAIR_WIDTH]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _Ids()
-        sketch = np.zeros(sum(sizes) + 1, np.int64)
-        uni, bi = sketch[: sizes[0]], sketch[sizes[0] : -1]
         for b in batches:
-            lines: list[str] = []
-            gaps: list[int] = []
-            for t in b.column(0).to_pylist():
-                if t:
-                    for line in (_LINK.sub("\n", t) if _may_link(t) else t).lower().split("\n"):
-                        ws = _WORD.findall(line)
-                        if ws:
-                            lines += ws
-                            gaps.append(len(lines))
-            if not lines:
-                continue
-            h = ids(lines)
-            sketch[-1] += len(h)
-            pair = np.delete(_pairs(h[:-1], h[1:]), np.array(gaps[:-1], np.int64) - 1)
-            for d in range(DEPTH):
-                uni[d * WORD_WIDTH : (d + 1) * WORD_WIDTH] += np.bincount(_slots(h, d, WORD_WIDTH), minlength=WORD_WIDTH)
-                bi[d * PAIR_WIDTH : (d + 1) * PAIR_WIDTH] += np.bincount(_slots(pair, d, PAIR_WIDTH), minlength=PAIR_WIDTH)
-        for k in range(0, len(sketch), _CHUNK):
-            part = sketch[k : k + _CHUNK]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k // _CHUNK]), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["chunk", "counts"])
-
-    def add(chunk: pd.DataFrame) -> pd.DataFrame:
-        total = None
-        for c in chunk["counts"]:
-            a = np.frombuffer(zlib.decompress(c), np.int64)
-            total = a.copy() if total is None else total + a
-        return pd.DataFrame({"chunk": chunk["chunk"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
-
-    parts = corpus.select(text).mapInArrow(count, "chunk long, counts binary").groupBy("chunk").applyInPandas(add, "chunk long, counts binary")
-    sketch = np.zeros(sum(sizes) + 1, np.int64)
-    for r in parts.collect():  # as many rows as the sketch has chunks
-        a = np.frombuffer(zlib.decompress(r.counts), np.int64)
-        sketch[r.chunk * _CHUNK : r.chunk * _CHUNK + len(a)] = a
-    return {"words": sketch[: sizes[0]], "pairs": sketch[sizes[0] : -1], "total": sketch[-1:]}
-
-
-def _least(sketch: np.ndarray, h: np.ndarray, width: int) -> np.ndarray:
-    return np.minimum.reduce([sketch[d * width + _slots(h, d, width)] for d in range(DEPTH)])
+            w = _Words([t for t in b.column(0).to_pylist() if t], ids)
+            if len(w.h):
+                keys, n = np.unique(np.concatenate([w.h, w.forward()]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.append(keys, np.uint64(0)).view(np.int64)), pa.array(np.append(n, len(w.h)).astype(np.int64))], names=["hash", "n"])
+
+    return texts.select("t").mapInArrow(count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
+
+
+class Counts:
+    """Sorted hashes and their counts."""
+
+    def __init__(self, hashes: np.ndarray, n: np.ndarray) -> None:
+        order = np.argsort(hashes)
+        self.hashes, self.n = hashes[order], n[order]
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.zeros(len(h), np.int64)
+        i = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        return np.where(self.hashes[i] == h, self.n[i], 0).astype(np.int64)
 
 
 class Scorer:
     """Judges texts by the corpus counts, a batch of texts at a time."""
 
-    def __init__(self, counts: dict[str, np.ndarray]) -> None:
-        self.c, self.ids, self.total = counts, _Ids(), max(1.0, float(counts["total"][0]))
-
-    def judge(self, texts: list[str]) -> list[dict]:
-        """For each text: the stuffed share of its characters, the commonest kind, its mean PMI and repeated share."""
-        ws: list[str] = []
-        units: list[tuple] = []  # text, size, size of links, links, first word
-        first_unit = []
-        for text in texts:
-            first_unit.append(len(units))
-            for raw in _UNIT.split(text):
-                unit = raw.strip()
-                if unit:
-                    size = len(unit)
-                    if _may_link(unit):
-                        rest, links = _LINK.subn(" ", unit)
-                        units.append((unit, size, size - len(rest) + links, links, len(ws)))
-                        ws += _WORD.findall(rest.lower())
-                    else:
-                        units.append((unit, size, 0, 0, len(ws)))
-                        ws += _WORD.findall(unit.lower())
-        first_unit.append(len(units))
-        start = np.array([u[4] for u in units] + [len(ws)], np.int64)
-        n = np.diff(start)
-        info = np.zeros(len(ws) + 1)
-        if len(ws) > 1:
-            h = self.ids(ws)
-            single = np.log(np.maximum(1, _least(self.c["words"], h, WORD_WIDTH)))
-            pmi = np.log(np.maximum(1, _least(self.c["pairs"], _pairs(h[:-1], h[1:]), PAIR_WIDTH))) + math.log(self.total) - single[:-1] - single[1:]
-            info[1:-1] = np.cumsum(pmi)  # info[i]: sum of the pairs that begin before word i
-            info[-1] = info[-2]
-        known = FUNCTION_WORDS
-        function = np.zeros(len(ws) + 1, np.int64)
-        function[1:] = np.cumsum(np.fromiter((w in known for w in ws), np.int64, len(ws)))
-        within = np.where(n > 1, info[np.maximum(start[1:] - 1, start[:-1])] - info[start[:-1]], 0.0)
-        mean = within / np.maximum(1, n - 1)
-        share = (function[start[1:]] - function[start[:-1]]) / np.maximum(1, n)
+    def __init__(self, total: int, ids: _Ids | None = None) -> None:
+        self.total, self.ids = max(1, total), ids or _Ids()
+
+    def judge(self, texts: list[str], counts: Lookup) -> list[dict]:
+        """For each text: the stuffed share of its characters, the commonest kind, its mean information and mean gain."""
+        w = _Words(texts, self.ids)
+        n_units, at = len(w.units), w.at
+        doc_of_unit = np.repeat(np.arange(len(texts)), np.diff(w.first))
+        n = np.diff(w.start)
+        unit_of_word = np.repeat(np.arange(n_units), n)
+        fwd, rev = w.forward(), w.reverse()
+        unit = unit_of_word[at]
+        doc = doc_of_unit[unit]
+        # counts in the document itself: hashes mixed with its number
+        mix = doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        keys, back, n_own = np.unique(fwd ^ mix, return_inverse=True, return_counts=True)
+        own_f, own_r = n_own[back], Counts(keys, n_own)(rev ^ mix)
+        all_f = np.maximum(counts(fwd), own_f)
+        other_f, other_r = all_f - own_f, np.maximum(0, counts(rev) - own_r)
+        seen = other_f + other_r > 0
+        gain = np.where(seen, np.log(0.5 + other_f) - np.log(0.5 + other_r), 0.0)
+        single = np.maximum(1, counts(w.h)).astype(float)
+        expected = single[at] * single[at + 1] / self.total if len(at) else np.zeros(0)
+        told = seen | (expected >= 1)
+        pmi = np.where(told, np.log(0.5 + other_f) - np.log(np.maximum(expected, 1e-9)), 0.0)
+        words_of_doc = np.bincount(doc_of_unit[unit_of_word], minlength=len(texts)) if n_units else np.zeros(len(texts), np.int64)
+        excess = (own_f >= LEAST_REPEATS) & (own_f > EXCESS * words_of_doc[doc] * all_f / self.total)
+        covered = np.zeros(len(w.ws) + 1, bool)
+        covered[at[excess]] = covered[at[excess] + 1] = True
+        per_unit = lambda x, u: np.bincount(u, weights=x, minlength=n_units) if n_units else np.zeros(0)
+        n_seen, n_told = per_unit(seen, unit), per_unit(told, unit)
+        mean_gain, mean_pmi = per_unit(gain, unit) / np.maximum(1, n_seen), per_unit(pmi, unit) / np.maximum(1, n_told)
+        known = (n > 1) & (2 * n_seen >= n - 1)
+        coherent = known & (mean_gain >= LEAST_GAIN)
+        incoherent = (known & (mean_gain < LEAST_GAIN)) | ((n > 1) & (2 * n_told >= n - 1) & (mean_pmi < LEAST_PMI))
+        top_of_unit, top_of_doc = _commonest(w.h, unit_of_word, n_units), _commonest(w.h, doc_of_unit[unit_of_word], len(texts))
+        stuffed = per_unit(covered[:-1], unit_of_word) >= MOST_COLLOCATIONS * np.maximum(1, n)
         out = []
-        for i in range(len(texts)):
-            a, b = first_unit[i], first_unit[i + 1]
-            covered, phrase = self.repeated(ws[start[a] : start[b]], start[a:b] - start[a])
-            size, bad = 0, {}
+        for d in range(len(texts)):
+            a, b = int(w.first[d]), int(w.first[d + 1])
+            # a pair occurs at most as often as its words
+            phrase = repeated(w.ws[w.start[a] : w.start[b]], w.start[a:b] - w.start[a]) if 2 * top_of_doc[d] >= MOST_REPEATED * words_of_doc[d] else ()
+            size, bad = 0, Counter()
             for k in range(a, b):
-                text, length, linked, links, at = units[k]
-                size += length
-                kind = _kind(text, length, linked, links, n[k], mean[k], share[k], ws[at : start[k + 1]] if phrase else (), phrase)
-                if kind:
-                    bad[kind] = bad.get(kind, 0) + length
-            pairs = int(np.maximum(0, n[a:b] - 1).sum())
-            out.append({"share": sum(bad.values()) / max(1, size), "kind": max(bad, key=lambda k: (bad[k], k)) if bad else None, "pmi": float(within[a:b].sum()) / max(1, pairs), "repeated": covered})
+                text, rest, linked, links = w.units[k]
+                size += len(text)
+                ws = w.ws[w.start[k] : w.start[k + 1]] if phrase else ()
+                if kind := _kind(text, rest, linked, links, int(n[k]), int(top_of_unit[k]), bool(coherent[k]), bool(incoherent[k]), bool(stuffed[k]), bool(phrase) and set(phrase) <= set(ws)):
+                    bad[kind] += len(text)
+            seen_here, told_here = max(1.0, n_seen[a:b].sum()), max(1.0, n_told[a:b].sum())
+            out.append(
+                {
+                    "share": sum(bad.values()) / max(1, size),
+                    "kind": max(bad, key=lambda k: (bad[k], k)) if bad else None,
+                    "pmi": float((mean_pmi[a:b] * n_told[a:b]).sum() / told_here),
+                    "gain": float((mean_gain[a:b] * n_seen[a:b]).sum() / seen_here),
+                }
+            )
         return out
 
-    @staticmethod
-    def repeated(ws: list[str], starts: np.ndarray) -> tuple[float, tuple[str, ...]]:
-        """The word or pair of content words that covers most words of a text, if it covers MOST_REPEATED of them.
-
-        A pair occurs at most as often as its words, so only texts with a frequent content word need their pairs counted.
-        """
-        if not ws:
-            return 0.0, ()
-        top = next(((w, c) for w, c in Counter(ws).most_common(40) if w not in FUNCTION_WORDS), None)
-        if not top or 2 * top[1] < MOST_REPEATED * len(ws):
-            return 0.0, ()
-        breaks = set(starts.tolist())
-        pairs = Counter(p for i, p in enumerate(zip(ws, ws[1:]), 1) if i not in breaks and p[0] not in FUNCTION_WORDS and p[1] not in FUNCTION_WORDS)
-        best = max(pairs.items(), key=lambda x: (x[1], x[0]), default=((), 0))
-        share, phrase = max((top[1] / len(ws), (top[0],)), (2 * best[1] / len(ws), best[0]))
-        return (share, phrase) if share >= MOST_REPEATED else (share, ())
-
-
-def _kind(text: str, size: int, linked: int, links: int, n: int, pmi: float, function: float, ws: list[str], phrase: tuple[str, ...]) -> str | None:
-    """links, salad or repeated if a unit is stuffed; None if it is a sentence, a heading or a name."""
-    if phrase and set(phrase) <= set(ws):
+
+def _commonest(h: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
+    """How often the commonest word of each group occurs in it."""
+    top = np.zeros(groups, np.int64)
+    if len(h):
+        _, at, n = np.unique(h ^ group.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), return_index=True, return_counts=True)
+        np.maximum.at(top, group[at], n)
+    return top
+
+
+def repeated(ws: list[str], starts: np.ndarray) -> tuple[str, ...]:
+    """The word or pair of neighbours that covers most words of a text, if it covers MOST_REPEATED of them, else ()."""
+    if not ws:
+        return ()
+    word, c = max(Counter(ws).items(), key=lambda x: (x[1], x[0]))
+    breaks = set(starts.tolist())
+    pairs = Counter(p for i, p in enumerate(zip(ws, ws[1:]), 1) if i not in breaks)
+    best, m = max(pairs.items(), key=lambda x: (x[1], x[0]), default=((), 0))
+    share, phrase = max((c / len(ws), (word,)), (2 * m / len(ws), best))
+    return phrase if share >= MOST_REPEATED else ()
+
+
+def _kind(text: str, rest: str, linked: int, links: int, n: int, top: int, coherent: bool, incoherent: bool, stuffed: bool, phrased: bool) -> str | None:
+    """repeated, links or salad if a unit is stuffed; None if it is a sentence, a heading or a name."""
+    if phrased or (n >= 12 and top >= MOST_REPEATED * n) or (n >= 3 and stuffed and text.rstrip(_CLOSERS)[-1:] not in _ENDS):
         return "repeated"
-    few = function < LEAST_FUNCTION_SHARE
-    if links and (n < 4 or few or linked > 3 * (size - linked)):
+    if links and (n < 4 or incoherent or linked > (3 if coherent else 1) * (len(text) - linked)):
         return "links"
-    if n >= 3 and (few or text[0] in "TtKkSsLlMmEe") and _TAGS.match(text):
-        return "salad"
-    if n >= 3 and few and (pmi < LEAST_PMI or _listed(text, n)):
-        return "salad"
-    if n >= 12 and function < MOST_FUNCTION_IN_LIST and _listed(text, n):
+    if n >= 3 and (incoherent or _listed(rest, n) or _TAGS.match(text)):
         return "salad"
     if n and "#" in text and text.count("#") >= max(2, n // 2):
         return "salad"
     return None
 
 
-def _may_link(text: str) -> bool:
-    """Whether ``_LINK`` can match: a cheap test for the texts without links."""
-    return "//" in text or "www." in text.lower() or "](" in text or bool(_DOT.search(text))
-
-
 def _listed(text: str, n: int) -> bool:
     """More than a third as many separators as words: a list rather than a phrase."""
-    return len(re.findall(r"[,;|/•·»>]|\s[-–*]\s|\(\d+\)", text)) * 3 > n
+    return len(_SEPARATOR.findall(text)) * 3 > n
 
 
-def find_stuffed(corpus: DataFrame, key: str, text: str, most: float = 0.5) -> DataFrame:
-    """(key, kind, share, mean_pmi) of the documents of which more than ``most`` of the characters are stuffed.
+def _rows(scorer: Scorer, keys: pa.Array, texts: list[str | None], counts: Lookup, most: float) -> pa.RecordBatch | None:
+    keep, found = [], []
+    for at in range(0, len(texts), 500):
+        for i, x in enumerate(scorer.judge([t or "" for t in texts[at : at + 500]], counts), at):
+            if x["share"] > most:
+                keep.append(i)
+                found.append(x)
+    if not keep:
+        return None
+    columns = [keys.take(pa.array(keep)), pa.array([x["kind"] for x in found], pa.string()), *(pa.array([x[c] for x in found], pa.float64()) for c in ("share", "pmi", "gain"))]
+    return pa.RecordBatch.from_arrays(columns, names=["k", "kind", "share", "mean_pmi", "mean_gain"])
 
-    kind is the commonest of links, salad and repeated. Null and empty texts are no spam; exact copies and repeated keys
-    are judged each for itself; a null key is returned as null. An empty table gives no rows.
-    """
-    counts = corpus.sparkSession.sparkContext.broadcast(corpus_counts(corpus, text))
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(counts.value)
+def find_stuffed(corpus: DataFrame, key: str, text: str, most: float = 0.5, broadcast_entries: int = BROADCAST_ENTRIES) -> DataFrame:
+    """(key, kind, share, mean_pmi, mean_gain) of the documents of which more than ``most`` of the characters are stuffed.
+
+    kind is the commonest of links, salad and repeated. The counts are broadcast if they have at most ``broadcast_entries``
+    entries; otherwise every piece of the corpus gets those of its own words and pairs by a join, with the same result. Null
+    and empty texts are no spam; exact copies and repeated keys are judged each for itself; a null key is returned as null.
+    An empty table gives no rows.
+    """
+    spark = corpus.sparkSession
+    docs = corpus.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    counted = cut_lineage(corpus_counts(docs))
+    entries = counted.count()
+    total = counted.where("hash = 0").first()
+    total = total.n if total else 0
+    schema = f"k {dict(corpus.dtypes)[key]}, kind string, share double, mean_pmi double, mean_gain double"
+    if entries <= broadcast_entries:
+        table = counted.toPandas()
+        shared = spark.sparkContext.broadcast((table["hash"].to_numpy(np.int64).view(np.uint64), np.minimum(table["n"].to_numpy(np.int64), 2**31 - 1).astype(np.int32)))
+
+        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scorer, counts = Scorer(total), Counts(*shared.value)
+            for b in batches:
+                if rows := _rows(scorer, b.column(0), b.column(1).to_pylist(), counts, most):
+                    yield rows
+
+        return docs.mapInArrow(judge, schema).withColumnRenamed("k", key)
+    return _joined(docs, counted, total, most, schema).withColumnRenamed("k", key)
+
+
+def _joined(docs: DataFrame, counted: DataFrame, total: int, most: float, schema: str) -> DataFrame:
+    """The same for counts of any size. A piece of the corpus asks for each of its words and pairs once."""
+    pieces = max(1, total // PIECE_WORDS)
+    parted = docs.withColumn("piece", F.pmod(F.xxhash64("k", "t"), F.lit(pieces)))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = _Ids()
         for b in batches:
-            keep, kinds, shares, pmis = [], [], [], []
-            texts = b.column(1).to_pylist()
-            for at in range(0, len(texts), 500):
-                for i, x in enumerate(scorer.judge([t or "" for t in texts[at : at + 500]]), at):
-                    if x["share"] > most:
-                        keep.append(i)
-                        kinds.append(x["kind"])
-                        shares.append(x["share"])
-                        pmis.append(x["pmi"])
-            if keep:
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep)), pa.array(kinds, pa.string()), pa.array(shares, pa.float64()), pa.array(pmis, pa.float64())], names=["k", "kind", "share", "mean_pmi"])
-
-    kind = dict(corpus.dtypes)[key]
-    return corpus.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(judge, f"k {kind}, kind string, share double, mean_pmi double").withColumnRenamed("k", key)
+            by_piece: dict[int, list[str]] = {}
+            for t, p in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                if t:
+                    by_piece.setdefault(p, []).append(t)
+            for p, texts in by_piece.items():
+                w = _Words(texts, ids)
+                asked = np.unique(np.concatenate([w.h, w.forward(), w.reverse()])).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(asked), p, np.int64)), pa.array(asked)], names=["piece", "hash"])
+
+    answers = parted.mapInArrow(ask, "piece long, hash long").distinct().join(counted, "hash")
+
+    def judge(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        counts = Counts(answers["hash"].to_numpy(np.int64).view(np.uint64), answers["n"].to_numpy(np.int64))
+        keys = pa.Array.from_pandas(texts["k"])
+        rows = _rows(Scorer(total), keys, [t if isinstance(t, str) else None for t in texts["t"]], counts, most)
+        return rows.to_pandas() if rows else pd.DataFrame({f.name: pd.Series(dtype="object") for f in T._parse_datatype_string(schema)})
+
+    return parted.groupBy("piece").cogroup(answers.groupBy("piece")).applyInPandas(judge, schema)

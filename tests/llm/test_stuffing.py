@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from quillspark.llm.stuffing import PAIR_WIDTH, WORD_WIDTH, Scorer, _Ids, _least, _pairs, corpus_counts, find_stuffed
+from quillspark.llm.stuffing import Counts, Scorer, _Ids, _pairs, corpus_counts, find_stuffed
 
 NEWS = "Der Gemeinderat von Altbach stimmte gestern mit knapper Mehrheit gegen das neue Verfahren. Ein Sprecher erklärte, die Stadt habe davon nichts gewusst. Die Kosten steigen nach Berechnungen aus dem Rathaus auf zwei Millionen Euro."
 SPAM = [
@@ -26,19 +26,48 @@ def test_spam_and_ham(spark):
     assert got == {*range(len(SPAM)), len(SPAM) + len(HAM)}
 
 
-def test_sketch_bounds_counts(spark):
+def test_counts_are_exact(spark):
     texts = [("a b a b c",), ("a b\nb c",), (None,), ("x " * 70_000,)]
-    c = corpus_counts(spark.createDataFrame(texts, "t string").repartition(3), "t")
+    rows = corpus_counts(spark.createDataFrame(texts, "t string").repartition(3)).collect()
+    c = Counts(np.array([r.hash for r in rows], np.int64).view(np.uint64), np.array([r.n for r in rows]))
     ids = _Ids()
     h = ids(["a", "b", "c", "x", "unseen"])
-    assert c["total"][0] == 70_009 and list(_least(c["words"], h, WORD_WIDTH)) == [3, 4, 2, 70_000, 0]
-    assert list(_least(c["pairs"], _pairs(h[:2], h[1:3]), PAIR_WIDTH)) == [3, 2]
+    assert list(c(np.array([0], np.uint64))) == [70_009] and list(c(h)) == [3, 4, 2, 70_000, 0]
+    assert list(c(_pairs(h[:2], h[1:3]))) == [3, 2] and list(c(_pairs(h[1:2], h[:1]))) == [0]  # "b a" occurs once
+
+
+def test_joined_counts_give_the_same(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*SPAM, *HAM, *[NEWS] * 20, *SPAM])], "id long, text string").repartition(4)
+    rows = lambda **k: sorted((r.id, r.kind, r.share, round(r.mean_pmi, 9), round(r.mean_gain, 9)) for r in find_stuffed(df, "id", "text", **k).collect())
+    assert rows() == rows(broadcast_entries=0) and len(rows()) == 2 * len(SPAM)
+
+
+POLISH = (
+    "Rada miasta przyjęła wczoraj nowy plan budowy mostu. Mieszkańcy czekali na tę decyzję od trzech lat. Burmistrz podziękował wszystkim za cierpliwość. Koszty wyniosą około dwóch milionów złotych. "
+    "Prace mają ruszyć jeszcze tej jesieni. Most zostanie otwarty najpóźniej za dwa lata. Opozycja uważa projekt za zbyt drogi. Następne posiedzenie odbędzie się w poniedziałek."
+)
+
+
+@pytest.mark.parametrize("copies", [1, 300])
+def test_prose_of_any_language_is_no_spam(spark, copies):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([POLISH] * copies + [NEWS] * 40)], "id long, text string")
+    assert find_stuffed(df, "id", "text").count() == 0
+
+
+def test_only_the_information_of_neighbours_decides(spark):
+    import random
+
+    r = random.Random(5)
+    names = "dachrinne luftfilter rohrreiniger bettgestell winterreifen tintenpatrone gartenschlauch treppenlift kaffeemaschine zahnbürste".split()
+    salad = [" ".join(r.choice(names) for _ in range(60)) + "." for _ in range(30)]  # no separators, no repeated phrase, a sentence end
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(salad + [NEWS] * 40)], "id long, text string")
+    assert {x.id for x in find_stuffed(df, "id", "text").collect()} == set(range(30))
 
 
 @pytest.mark.parametrize("text", ["wort " * 100_000, "\n\n\n", "äöü", "a", "."])
 def test_odd_texts(text):
-    zero = {"words": np.zeros(2 * WORD_WIDTH, np.int64), "pairs": np.zeros(2 * PAIR_WIDTH, np.int64), "total": np.zeros(1, np.int64)}
-    assert 0 <= Scorer(zero).judge([text])[0]["share"] <= 1
+    none = Counts(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    assert 0 <= Scorer(0).judge([text], none)[0]["share"] <= 1
 
 
 def test_empty_table(spark):
