@@ -35,7 +35,7 @@ LEAST_GAIN, LEAST_PMI = 3.0, 0.0
 #: A pair is repeated in excess if a document holds it so often, and so many times more often than expected.
 LEAST_REPEATS, EXCESS = 3, 10.0
 #: Share of a unit without a sentence end covered by such pairs, and of words covered by one word or pair, from which they are stuffed.
-MOST_COLLOCATIONS, MOST_REPEATED = 0.5, 0.3
+MOST_COLLOCATIONS, MOST_REPEATED = 0.4, 0.3
 
 _LINK = re.compile(r"(?:https?:)?//\S+|www\.\S+|\]\([^()\s]*\)|(?<![\w@.-])(?:[a-z0-9à-ÿ][a-z0-9à-ÿ-]*\.)+[a-z]{2,}(?:/\S*)?", re.I)
 _DOT = re.compile(r"[a-z0-9à-ÿ]\.[a-z]{2}", re.I)
@@ -43,7 +43,7 @@ _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _STOP = re.compile(r"[.!?…][\"”“»)]*\s+(?=[^\W\d_]|[^\w\s])")
 _ENDS, _CLOSERS = frozenset(".!?…"), "\"”“’»)]"
 _TAGS = re.compile(r"^\W*(?:tags?|keywords?|stichw(?:ö|oe)rter|schlagw(?:ö|oe)rter|labels?|mots-clés|etiquetas|trefwoorden)\s*:", re.I)
-_SEPARATOR = re.compile(r"[,;|/•·»>]|\s[-–*]\s|\(\d+\)")
+_SEPARATORS, _SPACED = ",;|/•·»>", re.compile(r"\s[-–*]\s|\(\d+\)")
 
 #: From hashes to their counts in the corpus, 0 where they are not kept.
 Lookup = Callable[[np.ndarray], np.ndarray]
@@ -245,7 +245,10 @@ def _kind(text: str, rest: str, linked: int, links: int, n: int, top: int, coher
 
 def _listed(text: str, n: int) -> bool:
     """More than a third as many separators as words: a list rather than a phrase."""
-    return len(_SEPARATOR.findall(text)) * 3 > n
+    found = sum(map(text.count, _SEPARATORS))
+    if "(" in text or "-" in text or "–" in text or "*" in text:
+        found += len(_SPACED.findall(text))
+    return found * 3 > n
 
 
 def _rows(scorer: Scorer, keys: pa.Array, texts: list[str | None], counts: Lookup, most: float) -> pa.RecordBatch | None:
