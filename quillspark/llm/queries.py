@@ -131,4 +131,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from quillspark.llm.oracle import P1
+
+    return {"p1_found": P1}

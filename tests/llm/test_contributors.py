@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from quillspark.llm.contributors import cap_contributors, cap_hosts, registrable
+from quillspark.llm.contributors import cap_contributors, cap_hosts, registrable, suitors
 
 SCHEMA = "id long, who array<string>, q double, kept string, quality int"
 
@@ -55,3 +55,33 @@ def test_hosts_however_written(spark):
     df = spark.createDataFrame([(i, u, 1.0 - i / 100) for i, u in enumerate(urls)], "id long, url string, q double")
     got = {r.id: r.kept for r in cap_hosts(df, "id", "url", "q", 5).collect()}  # 10 rows with a url: two places
     assert {i for i, k in got.items() if k} == {0, 1, 12} and set(got) == {*range(9), 12}
+
+
+def first_come(records, capacity):
+    free, kept = {}, set()
+    for r, cs in sorted(records.items()):
+        if all(free.setdefault(c, capacity) > 0 for c in cs):
+            kept.add(r)
+            for c in cs:
+                free[c] -= 1
+    return kept
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_displacement_ends_in_the_greedy_matching(seed):
+    r = random.Random(seed)
+    records = {i: r.sample("abcdefg", r.randrange(1, 4)) for i in range(r.randrange(1, 60))}
+    shuffled = dict(r.sample(sorted(records.items()), len(records)))
+    capacity = r.randrange(0, 5)
+    assert suitors(shuffled, dict.fromkeys("abcdefg", capacity)) == first_come(records, capacity)
+
+
+@pytest.mark.parametrize("finish", [0, 1_000_000])
+def test_long_chain_and_shared_records(spark, finish):
+    n = 10 if finish == 0 else 2_000  # each record displaces the next at a shared contributor
+    rows = [(i, [f"c{i}", f"c{i + 1}"], 1.0 - i / 10_000) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, by array<string>, q double").repartition(4)
+    got = {x.id for x in cap_contributors(df, "id", "by", "q", 1, finish).where("kept").collect()}
+    assert got == set(range(0, n, 2))
+    two = spark.createDataFrame([(1, ["a", "b"], 0.9), (2, ["b"], 0.8)], "id long, by array<string>, q double")
+    assert [x.id for x in cap_contributors(two, "id", "by", "q", 1, finish).where("kept").collect()] == [1]
