@@ -1,6 +1,6 @@
 """Problem 7: held-out evaluation texts inside a training corpus.
 
-The n-grams of the normalised evaluation texts form a broadcast hash set. Each training text is normalised the same way
+The hashes of the n-grams of the normalised evaluation texts form a broadcast set. Each training text is normalised the same way
 and its token windows are looked up; a hit is the equality of all n words, not only of hashes. The evaluation set is read
 in blocks of a checked number of words, so that what is broadcast stays bounded however large it is.
 """
@@ -12,11 +12,13 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words of evaluation text held in one broadcast block.
+#: Words of evaluation text held in one broadcast block: at about 32 bytes for each, and 100 for each different word, less
+#: than 200 MB in a worker.
 BLOCK_WORDS = 2_000_000
 
 _COMBINING = re.compile("[\u0300-\u036f]+")
@@ -81,19 +83,51 @@ def readings(text: str) -> list[tuple[str, ...] | list[str]]:
     return out
 
 
-def ngrams_of_items(items: list[tuple[int, str]], n: int) -> dict[tuple[str, ...], tuple[int, ...]]:
-    found: dict[tuple[str, ...], set[int]] = {}
-    for key, text in items:
-        for ws in readings(text):
-            for i in range(len(ws) - n + 1):
-                found.setdefault(tuple(ws[i : i + n]), set()).add(key)
-    return {g: tuple(sorted(k)) for g, k in found.items()}
-
-
-def windows_hit(ws: list[str], grams: dict, vocabulary: set[str] | frozenset, n: int) -> list[tuple[int, tuple[int, ...]]]:
+class Grams:
+    """The n-grams of the items of a block: a sorted array of 64-bit hashes with the place of each, and the words to verify
+    a hit against. Words are shared, so an n-gram takes about 32 bytes, whatever n is."""
+
+    def __init__(self, items: list[tuple[int, str]], n: int) -> None:
+        self.n = n
+        self.keys: list[int] = []
+        self.words: list[list[str]] = []  # one list for each reading of an item
+        shared: dict[str, str] = {}
+        hashes, places = [], []
+        for key, text in items:
+            for ws in readings(text):
+                if len(ws) >= n:
+                    own = [shared.setdefault(w, w) for w in ws]
+                    hashes += [self.hash(own[i : i + n]) for i in range(len(own) - n + 1)]
+                    places += [len(self.words) << 32 | i for i in range(len(own) - n + 1)]
+                    self.keys.append(key)
+                    self.words.append(own)
+        order = np.argsort(np.array(hashes, np.uint64), kind="stable")
+        self.hashes, self.places = np.array(hashes, np.uint64)[order], np.array(places, np.int64)[order]
+        self.vocabulary = frozenset(shared)
+
+    @staticmethod
+    def hash(window: list[str]) -> int:
+        import xxhash
+
+        return xxhash.xxh3_64_intdigest("\x1f".join(window).encode("utf-8", "surrogatepass"))
+
+    def items(self, window: list[str]) -> set[int]:
+        """The items that hold the n words of ``window``."""
+        h = np.uint64(self.hash(window))
+        i, found = int(np.searchsorted(self.hashes, h)), set()
+        while i < len(self.hashes) and self.hashes[i] == h:
+            reading, at = divmod(int(self.places[i]), 1 << 32)
+            if self.words[reading][at : at + self.n] == window:
+                found.add(self.keys[reading])
+            i += 1
+        return found
+
+
+def windows_hit(ws: list[str], grams: Grams) -> list[tuple[int, set[int]]]:
     """(start, items) of each window of ``ws`` that is in ``grams``. Every run of n known words covers one position
     n-1 modulo n, so only there does the scan look for known words before it extends the run to both sides."""
     hits = []
+    n, vocabulary = grams.n, grams.vocabulary
     done, last = 0, len(ws)
     for p in range(n - 1, last, n):
         if p < done or ws[p] not in vocabulary:
@@ -105,8 +139,7 @@ def windows_hit(ws: list[str], grams: dict, vocabulary: set[str] | frozenset, n:
         while b < last and ws[b] in vocabulary:
             b += 1
         for i in range(a, b - n + 1):
-            k = grams.get(tuple(ws[i : i + n]))
-            if k:
+            if k := grams.items(ws[i : i + n]):
                 hits.append((i, k))
         done = b
     return hits
@@ -133,17 +166,16 @@ def find_leaks(corpus: DataFrame, key: str, text: str, items: DataFrame, item_ke
     kind = dict(corpus.dtypes)[key], dict(items.dtypes)[item_key]
     out: DataFrame | None = None
     for block in _blocks(items, item_key, item_text, block_words):
-        grams = ngrams_of_items(block, n)
-        shared = spark.sparkContext.broadcast((grams, frozenset(w for g in grams for w in g)))
+        shared = spark.sparkContext.broadcast(Grams(block, n))
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            grams, vocabulary = shared.value
+            grams = shared.value
             for b in batches:
                 ks, vs = [], []
                 for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                     found: set[int] = set()
                     for ws in readings(t):
-                        for _, items_ in windows_hit(ws, grams, vocabulary, n):
+                        for _, items_ in windows_hit(ws, grams):
                             found.update(items_)
                     ks += [k] * len(found)
                     vs += sorted(found)
@@ -231,22 +263,22 @@ def traced_readings(text: str) -> list[list[tuple[str, list[tuple[int, int]]]]]:
     return [_traced_words(t) for t in out]
 
 
-def leaked(text: str, grams: dict, vocabulary: frozenset, n: int) -> bool:
-    return any(windows_hit(ws, grams, vocabulary, n) for ws in readings(text))
+def leaked(text: str, grams: Grams) -> bool:
+    return any(windows_hit(ws, grams) for ws in readings(text))
 
 
-def remove_spans(text: str, grams: dict, vocabulary: frozenset, n: int) -> tuple[str | None, int]:
+def remove_spans(text: str, grams: Grams) -> tuple[str | None, int]:
     """``text`` without the words of every window that leaked in any of its readings, and the number of words removed.
 
     Markup and signs between the words stay. Words that meet where others were cut are looked at again, until nothing
     leaks; null if a leak is left that has no place in the text.
     """
     removed = 0
-    while leaked(text, grams, vocabulary, n):
+    while leaked(text, grams):
         cut = bytearray(len(text))
         for ws in traced_readings(text):
-            for i, _ in windows_hit([w for w, _ in ws], grams, vocabulary, n):
-                for _, spans in ws[i : i + n]:
+            for i, _ in windows_hit([w for w, _ in ws], grams):
+                for _, spans in ws[i : i + grams.n]:
                     for a, b in spans:
                         cut[a:b] = b"\1" * (b - a)
         if not any(cut):
@@ -268,18 +300,17 @@ def clean_leaks(corpus: DataFrame, key: str, text: str, items: DataFrame, item_k
     schema = f"k {dict(corpus.dtypes)[key]}, t string, removed long, action string, whole long"
 
     def trimmed(out: DataFrame, block: list[tuple[int, str]], last: bool) -> DataFrame:
-        grams = ngrams_of_items(block, n)
-        shared = spark.sparkContext.broadcast((grams, frozenset(w for g in grams for w in g)))
+        shared = spark.sparkContext.broadcast(Grams(block, n))
 
         def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            grams, vocabulary = shared.value
+            grams = shared.value
             for b in batches:
                 rows = list(zip(*(c.to_pylist() for c in b.columns)))
                 new = []
                 for k, t, removed, action, whole in rows:
-                    if t is not None and leaked(t, grams, vocabulary, n):
+                    if t is not None and leaked(t, grams):
                         whole = len(_WORD.findall(t)) if whole < 0 else whole
-                        t, cut = (None, 0) if last else remove_spans(t, grams, vocabulary, n)
+                        t, cut = (None, 0) if last else remove_spans(t, grams)
                         removed += cut
                         t, action = (None, "dropped") if t is None or removed > most_removed * whole else (t, "trimmed")
                     new.append((k, t, removed, action, whole))

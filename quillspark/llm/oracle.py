@@ -49,3 +49,39 @@ SELECT row_id FROM (
     SELECT row_id, row_number() OVER (PARTITION BY site ORDER BY q DESC NULLS LAST, row_id) AS place, (SELECT count(*) FROM hosts) // 50 AS places FROM sites WHERE site <> ''
 ) WHERE place > places
 """
+
+# The readings of a text for ``p7_found``: markup out, line-end hyphens joined or not, marks inside words out. Every word folds
+# umlauts, their two-letter spellings and the bare vowels into one.
+_INVISIBLE = "regexp_replace({}, '[\\x{{00ad}}\\x{{200b}}-\\x{{200f}}\\x{{2060}}\\x{{feff}}]', '', 'g')"
+_JOINED = "regexp_replace({}, '(\\p{{L}})[-\\x{{2010}}\\x{{2011}}][ \\t]*\\r?\\n\\s*(\\p{{L}})', '\\1\\2', 'g')"
+
+
+def _plain(c: str) -> str:
+    for entity, sign in (("auml", "ä"), ("ouml", "ö"), ("uuml", "ü"), ("Auml", "Ä"), ("Ouml", "Ö"), ("Uuml", "Ü"), ("szlig", "ß"), ("nbsp", " "), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        c = f"replace({c}, '&{entity};', '{sign}')"
+    for pattern, new in (
+        ("</?(?:p|br|li|ul|ol|div|h[1-6]|tr|td|th|table|blockquote|pre|hr|dd|dt|dl|section|article)\\b[^<>]*>", " "), ("<(?:/?[a-zA-Z][^<>]*)>", ""), ("<!--.*?-->", ""),
+        ("\\]\\s?(?:\\([^()\\s]*(?:\\s+\"[^\"]*\")?\\)|\\[\\w*\\])", "]"), ("\\[\\[[^\\[\\]|]*\\|([^\\[\\]]*)\\]\\]", "\\1"), ("\\[https?://\\S+\\s+([^\\[\\]]*)\\]", "\\1"),
+        ("\\\\[\"''`^~=.]\\s?\\{?([a-zA-Z])\\}?", "\\1"), ("\\\\ss\\b\\{?\\}?", "ss"), ("\\\\(?:href|url)\\{[^{}]*\\}", ""), ("\\\\[a-zA-Z]+\\*?(?:\\[[^\\[\\]]*\\])?", ""),
+    ):
+        c = f"regexp_replace({c}, '(?i){pattern}', '{new}', 'g')"
+    return c
+
+
+def _folded(c: str) -> str:
+    c = f"strip_accents(replace(lower({c}), 'ß', 'ss'))"
+    for a, b in (("ae", "a"), ("oe", "o"), ("ue", "u"), ("sz", "s"), ("ss", "s")):
+        c = f"replace({c}, '{a}', '{b}')"
+    return f"regexp_extract_all({c}, '[\\p{{L}}\\p{{N}}]+')"
+
+
+def _grams(table: str, key: str, text: str) -> str:
+    inword = "regexp_replace(p, '([\\p{L}\\p{N}])(?:\\*{1,3}|_{2,3}|''{2,5}|`)([\\p{L}\\p{N}])', '\\1\\2', 'g')"
+    readings = f"[{_JOINED.format('p')}, p, {_JOINED.format('t')}, {_JOINED.format(inword)}]"
+    return f"""SELECT DISTINCT k, array_to_string(w[i:i + 11], ' ') AS gram FROM (
+        SELECT k, w, unnest(range(1, len(w) - 10)) AS i FROM (
+            SELECT DISTINCT k, {_folded('r')} AS w FROM (SELECT k, unnest({readings}) AS r FROM (SELECT k, t, {_plain('t')} AS p FROM (
+                SELECT {key} AS k, {_INVISIBLE.format(text)} AS t FROM {table} WHERE {text} IS NOT NULL)))))"""
+
+
+P7 = f"WITH a AS ({_grams('documents', 'doc_id', 'text')}), b AS ({_grams('benchmark_set', 'item_id', 'target_comment')}) SELECT DISTINCT a.k AS doc_id, b.k AS item_id FROM a JOIN b ON a.gram = b.gram"

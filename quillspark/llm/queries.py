@@ -131,6 +131,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from quillspark.llm.oracle import P1
+    from quillspark.llm.oracle import P1, P7
 
-    return {"p1_found": P1}
+    return {"p1_found": P1, "p7_found": P7}
