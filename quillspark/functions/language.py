@@ -20,11 +20,12 @@ STOPWORDS = {
 
 def stopword_language(text: Column, least: int = 20, default: str = "de") -> Column:
     """The language with most stopwords, ties in the order above; ``default`` for short texts and without any."""
-    words = F.split(F.lower(normalize_whitespace(text)), r"[^\p{L}]+")
-    hits = lambda listed: F.size(F.filter(words, lambda w: w.isin(*listed)))
-    votes = [F.struct(hits(s.split()).alias("n"), F.lit(-i).alias("rank"), F.lit(k).alias("lang")) for i, (k, s) in enumerate(STOPWORDS.items())]
-    best = F.array_max(F.array(*votes))
-    return F.when(F.length(text) < least, F.lit(default)).when(best["n"] == 0, F.lit(default)).otherwise(F.coalesce(best["lang"], F.lit(default)))
+    # lambda variables, so that the text is split once and the best vote is found once
+    hits = lambda ws, listed: F.size(F.filter(ws, lambda w: w.isin(*listed)))
+    votes = lambda ws: F.array(*[F.struct(hits(ws, s.split()).alias("n"), F.lit(-i).alias("rank"), F.lit(k).alias("lang")) for i, (k, s) in enumerate(STOPWORDS.items())])
+    best = F.transform(F.array(F.split(F.lower(normalize_whitespace(text)), r"[^\p{L}]+")), lambda ws: F.array_max(votes(ws)))
+    lang = F.transform(best, lambda b: F.when(b["n"] == 0, F.lit(default)).otherwise(F.coalesce(b["lang"], F.lit(default))))
+    return F.when(F.length(text) < least, F.lit(default)).otherwise(lang[0])
 
 
 def with_prefix(context: Column, lang: Column) -> Column:

@@ -21,7 +21,7 @@ def topic_label(topic: Column) -> Column:
 def shares(rows: DataFrame, column: Column, name: str) -> DataFrame:
     """(name, cnt, pct) of a column's values; null is ``unknown``. The total is a one-row aggregate of the counts."""
     counts = rows.groupBy(F.coalesce(column, F.lit("unknown")).alias(name)).agg(F.count(F.lit(1)).alias("cnt"))
-    whole = F.sum("cnt").over(Window.partitionBy(F.lit(1)))
+    whole = counts.agg(F.sum("cnt")).scalar()
     return counts.withColumn("pct", F.round(100.0 * F.col("cnt") / F.nullif(whole, F.lit(0)), 1))
 
 

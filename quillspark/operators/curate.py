@@ -29,22 +29,22 @@ def drop_reason(topic: Column) -> Column:
 
 def quality_points(topic: Column, context: Column) -> Column:
     """The additive score in hundredths, so that no rounding decides on a bucket."""
-    words = split_words(topic)
-    content = F.size(F.filter(words, lambda w: F.length(w) > 2))
-    names = F.size(F.filter(F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda w: (F.length(w) > 2) & w.rlike(r"^\p{Lu}")))
+    content = lambda ws: F.size(F.filter(ws, lambda w: F.length(w) > 2))
+    names = lambda ws: F.size(F.filter(F.slice(ws, 2, F.greatest(F.size(ws), F.lit(1))), lambda w: (F.length(w) > 2) & w.rlike(r"^\p{Lu}")))
     given = lambda test, points: F.when(test, points).otherwise(0)
+    worded = lambda n: given(n["content"] >= 4, 15) + given(n["names"] >= 2, 10) - given((F.regexp_count(topic, F.lit(SEPARATORS)) >= 2) & (n["content"] < 4), 25)
+    # lambda variables, so that the topic is split once
+    counted = F.transform(F.array(split_words(topic)), lambda ws: F.struct(content(ws).alias("content"), names(ws).alias("names")))
     points = (
         F.lit(50)
-        + given(content >= 4, 15)
+        + F.transform(counted, worded)[0]
         + given(topic.rlike(QUOTE_SIGNS), 10)
         + given(topic.rlike(NUMBER_UNIT), 10)
-        + given(names >= 2, 10)
         + given(F.length(context) >= 40, 5)
         - given(topic.rlike(java(GENERIC_PORTAL, True)), 35)
-        - given((F.regexp_count(topic, F.lit(SEPARATORS)) >= 2) & (content < 4), 25)
         - given(topic.rlike(java(MAPS_BOILER, True)), 40)
     )
-    return F.greatest(F.lit(0), F.least(F.lit(100), points))
+    return F.transform(F.array(points), lambda p: F.greatest(F.lit(0), F.least(F.lit(100), p)))[0]
 
 
 def bucket_of(points: Column) -> Column:
@@ -65,7 +65,8 @@ def judged(rows: DataFrame, detect: Callable[[Column], Column] = stopword_langua
     """
     rows = computed(rows, _lang=detect(language_sample(F.col("topic"), F.col("context"))))
     rows = rows.withColumn("context", with_prefix(F.col("context"), F.col("_lang"))).drop("_lang")
-    rows = computed(rows, points=quality_points(F.col("topic"), F.col("context"))).withColumn("quality_bucket", bucket_of(F.col("points")))
+    rows = computed(rows, points=quality_points(F.col("topic"), F.col("context")))
+    rows = rows.withColumn("quality_bucket", bucket_of(F.col("points")))
     status = (
         F.when(F.length(F.col("target_comment")) < LEAST_COMMENT, "short_comment")
         .when(F.col("topic") == "", "no_topic")
@@ -80,7 +81,8 @@ def training_rows(judged_rows: DataFrame) -> DataFrame:
 
 
 def stats(judged_rows: DataFrame) -> DataFrame:
-    """(metric, key, cnt): totals by status, and bucket and topic source of the kept rows, in one pass of grouping sets."""
+    """(metric, key, cnt): totals by status, and bucket and topic source of the kept rows, in one pass; ordered as a
+    report, by metric and falling count."""
     kept = F.col("status") == "kept"
     tagged = judged_rows.select(
         F.explode(
@@ -94,4 +96,5 @@ def stats(judged_rows: DataFrame) -> DataFrame:
             )
         ).alias("t")
     )
-    return tagged.groupBy("t.metric", "t.key").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = tagged.groupBy("t.metric", "t.key").agg(F.count(F.lit(1)).alias("cnt"))
+    return counts.orderBy("metric", F.desc("cnt"), "key")

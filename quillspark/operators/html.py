@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -251,14 +251,17 @@ def node_table(pages: DataFrame, key: str, page: str) -> DataFrame:
     return pages.select(key, F.explode(nodes_of(F.col(page))).alias("n")).select(key, "n.*")
 
 
-def header_before(table: DataFrame, key: str) -> DataFrame:
-    """The node table with ``header``: the text of the last ``h3`` that begins before the node, ``unknown`` without one."""
-    inside = table.where("kind = 'tag' and tag = 'h3'").select(F.col(key).alias("_k"), F.col("pos").alias("_a"), F.col("stop").alias("_b"))
-    texts = table.join(inside, (F.col(key) == F.col("_k")) & (F.col("pos") > F.col("_a")) & (F.col("pos") <= F.col("_b")) & (F.col("kind") == "text"))
-    heads = texts.groupBy("_k", "_a").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "").alias("_text"))
-    marked = table.join(heads, (F.col(key) == F.col("_k")) & (F.col("pos") == F.col("_a")), "left").drop("_k", "_a")
-    before = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return marked.withColumn("header", F.coalesce(F.last(strip_ws(F.col("_text")), ignorenulls=True).over(before), F.lit("unknown"))).drop("_text")
+def header_before(pages: DataFrame, key: str, page: str) -> DataFrame:
+    """The node table with ``header``: the text of the last ``h3`` with a text that begins before the node, ``unknown``
+    without one. Each page is parsed once and its headers are found within its own nodes, without an exchange."""
+    parsed = pages.select(key, nodes_of(F.col(page)).alias("_n"))
+    inside = lambda h: F.filter(F.col("_n"), lambda n: (n["kind"] == "text") & (n["pos"] > h["pos"]) & (n["pos"] <= h["stop"]))
+    heads = F.transform(elements(F.col("_n"), "h3"), lambda h: F.struct(h["pos"].alias("pos"), F.transform(inside(h), lambda n: n["text"]).alias("texts")))
+    named = F.transform(F.filter(heads, lambda h: F.size(h["texts"]) > 0), lambda h: F.struct(h["pos"].alias("pos"), strip_ws(F.array_join(h["texts"], "")).alias("text")))
+    parsed = computed(parsed, _heads=named)
+    last = lambda n: F.try_element_at(F.filter(F.col("_heads"), lambda h: h["pos"] < n["pos"]), F.lit(-1))["text"]
+    nodes = F.transform("_n", lambda n: F.struct(n.alias("n"), F.coalesce(last(n), F.lit("unknown")).alias("header")))
+    return parsed.select(key, F.explode(nodes).alias("x")).select(key, "x.n.*", "x.header")
 
 
 def linked_sources(links: DataFrame, pages: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from quillspark.functions.language import STOPWORDS
 from quillspark.functions.patterns import (
-    AUDIT_LABELS, BRAND_HOSTS, GENERIC_PORTAL, LINE_BREAK, MAPS_BOILER, NUMBER_UNIT, QUOTE_SIGNS, SEPARATORS, URL_ISH, WS,
+    AUDIT_LABELS, BRAND_HOSTS, DEICTIC_WORDS, GENERIC_PORTAL, LINE_BREAK, MAPS_BOILER, MAPS_URL, NUMBER_UNIT, QUOTE_SIGNS, SEPARATORS, URL_ISH, WS, whole_words,
 )
 from quillspark.functions.prompt import INSTRUCTION, SYSTEM
 from quillspark.functions.timecode import KEY
@@ -53,6 +53,7 @@ def like(c: str, pattern: str, ignore_case: bool = True) -> str:
 HREFS = "regexp_extract_all(regexp_replace(contenthtml, '(?s)<blockquote[^>]*>.*?</blockquote>', '', 'g'), '<a [^>]*?href=\"([^\"]*)\"', 1)"
 DOMAIN = r"CASE WHEN regexp_matches(href, '^/?\?ts=') THEN 'self' ELSE regexp_replace(split_part(string_split(href, '//')[-1], '/', 1), 'www[\p{Nd}.]*', '', 'g') END"
 COUNTED = r"length(word) >= 4 AND NOT regexp_matches(word, '^\p{Nd}')"
+_WITHOUT_TAGS = "regexp_replace(regexp_replace(contenthtml, '(?s)<blockquote[^>]*>.*?(?:</blockquote>|$)', '', 'g'), '</?[a-zA-Z][^<>]*>', '', 'g')"
 ITEMS = "list_transform(regexp_split_to_array(contenthtml, '<li[^>]*>')[2:], lambda x: replace(x, '</ul>', ''))"
 BARE = r"regexp_replace(coalesce(context, ''), '^\[Quelle: [A-Z]+\] ?', '')"
 
@@ -118,6 +119,40 @@ PROMPT = f"concat_ws(chr(10), '### Instruction', {q(INSTRUCTION)}, '', '### Inpu
 MONTHS = "SELECT strftime(unnest(generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH)), '%Y%m') AS month FROM orders"
 
 
+def unescaped(c: str) -> str:
+    for entity, sign in (("uuml", "ü"), ("auml", "ä"), ("ouml", "ö"), ("szlig", "ß"), ("gt", ">"), ("lt", "<"), ("amp", "&")):
+        c = f"replace({c}, '&{entity};', '{sign}')"
+    return c
+
+
+def texts(items: str) -> str:
+    """The non-empty texts among tags and texts."""
+    return f"list_filter(list_transform(list_filter({items}, lambda x: NOT regexp_matches(x, '^</?[a-zA-Z]')), lambda x: {norm(unescaped('x'))}), lambda x: x <> '')"
+
+
+# Tags and texts of each page in order; of each external link its place, what follows, and the first quotation among 20 nodes.
+_LINK = "'^<a\\s[^>]*href=\"\\s*https?://'"
+_ENDED = "lambda s, t: CASE WHEN s <> '' AND (regexp_matches(s, '[.!?]$') OR length(s) >= 140) THEN s WHEN s = '' THEN t ELSE s || ' ' || t END"
+ANCHORS = f"""WITH t AS (SELECT message_id, list_filter(string_split(regexp_replace(contenthtml, '(</?[a-zA-Z][^<>]*>)', chr(1) || '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS t FROM messages),
+i AS (SELECT message_id, t, unnest(list_filter(range(1, len(t) + 1), lambda i: regexp_matches(t[i], {_LINK}))) AS i FROM t),
+r AS (SELECT *, t[i + 1:] AS r, len(list_filter(t[:i], lambda x: NOT starts_with(x, '</'))) - 1 AS pos FROM i),
+e AS (SELECT *, list_filter(r, lambda x: NOT starts_with(x, '</')) AS nodes, coalesce(list_position(r, '</a>'), len(r) + 1) AS j, coalesce(nullif(list_position(list_transform(r, lambda x: starts_with(x, '<blockquote')), true), 0), 1000000) AS k FROM r),
+q AS (SELECT *, k <= len(r) AND len(list_filter(r[:k], lambda x: NOT starts_with(x, '</'))) <= 20 AS near FROM e),
+a AS (SELECT message_id, pos, regexp_extract(t[i], 'href="([^"]*)"', 1) AS href, array_to_string({texts('r[:j - 1]')}, ' ') AS body,
+    CASE WHEN near THEN left(array_to_string({texts("r[k + 1:k + coalesce(nullif(list_position(r[k + 1:], '</blockquote>'), 0), 1000000) - 1]")}, ' '), 140) ELSE '' END AS quotation,
+    left(list_reduce(list_prepend('', {texts('nodes[:60]')}), {_ENDED}), 140) AS sentence FROM q)"""
+
+
+def topic() -> str:
+    """The topic rules over the first two links of each message, without a linked page."""
+    deictic = like("body", whole_words(DEICTIC_WORDS))
+    return f"""{ANCHORS}, n AS (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY pos) AS n, coalesce(lead(body) OVER (PARTITION BY message_id ORDER BY pos), '') AS second FROM a),
+        s AS (SELECT *, CASE WHEN {deictic} AND length(sentence) >= 20 THEN body || ' ' || sentence WHEN {deictic} AND length(second) >= 20 THEN body || ' (' || second || ')' WHEN length(quotation) >= 20 THEN body || ': ' || quotation ELSE body END AS topic,
+            CASE WHEN {deictic} AND (length(sentence) >= 20 OR length(second) >= 20) THEN 'html_text' WHEN length(quotation) >= 20 THEN 'html_anchor+blockquote' ELSE 'html_anchor' END AS source FROM n WHERE n = 1),
+        m AS (SELECT *, {like("href", MAPS_URL)} AND ({like("topic", MAPS_BOILER)} OR length(topic) < 40) AND length(sentence) >= 20 AS maps FROM s)
+        SELECT message_id, coalesce({strip("left(CASE WHEN maps THEN sentence ELSE topic END, 180)")}, '') AS topic, '' AS context, CASE WHEN maps THEN 'html_text' ELSE coalesce(source, 'none') END AS topic_source FROM messages LEFT JOIN m USING (message_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     from quillspark.queries import TOPICS
 
@@ -141,7 +176,7 @@ def oracle_sql() -> dict[str, str]:
         "timecode_roundtrip": f"SELECT message_id, strftime(make_timestamp({seconds('hextimestamp')} * 1000000), '%Y-%m-%d %H:%M:%S') AS decoded, lower(hex(xor({seconds('hextimestamp')}, {KEY}::BIGINT))) AS encoded FROM messages",
         "permalinks": f"SELECT * FROM (SELECT message_id, nullif(regexp_extract(h[1], '\\?ts=(.*)', 1), '') AS code, 'https://blog.linkstube.example/' || h[1] AS url FROM (SELECT message_id, {HREFS} AS h FROM messages)) WHERE {seconds('code')} IS NOT NULL",
         "month_sequence": f"SELECT month, 'https://blog.linkstube.example/?mon=' || month AS url FROM ({MONTHS})",
-        "months_unprocessed": f"SELECT month FROM ({MONTHS}) WHERE month NOT IN (SELECT {month('hextimestamp')} FROM messages)",
+        "months_unprocessed": f"SELECT month FROM (SELECT strftime(unnest(generate_series(date_trunc('month', min(posted)), date_trunc('month', max(posted)), INTERVAL 1 MONTH)), '%Y%m') AS month FROM (SELECT make_timestamp({seconds('hextimestamp')} * 1000000) AS posted FROM messages)) WHERE month NOT IN (SELECT {month('hextimestamp')} FROM messages WHERE quotecount > 2)",
         "month_limit": f"SELECT month FROM ({MONTHS}) ORDER BY month LIMIT 24",
         "month_delta": "SELECT datediff('month', min(o_orderdate), max(o_orderdate))::BIGINT AS months FROM orders",
         "anchor_repair": f"SELECT message_id, array_to_string(list_transform({lines}, lambda l: l || repeat('</a>', greatest(0, {excess})::INT)), '') AS repaired FROM messages",
@@ -181,5 +216,10 @@ def oracle_sql() -> dict[str, str]:
         "prompt_text": f"SELECT row_id, {PROMPT} AS prompt FROM fefe_training_data",
         "chat_messages": f"SELECT row_id, 0::BIGINT AS turn, 'system' AS role, {q(SYSTEM)} AS content FROM fefe_training_data UNION ALL SELECT row_id, 1, 'user', {PROMPT} FROM fefe_training_data UNION ALL SELECT row_id, 2, 'assistant', {norm('target_comment')} FROM fefe_training_data",
         "chat_text": f"SELECT row_id, '<|system|>' || chr(10) || {q(SYSTEM)} || chr(10) || '<|user|>' || chr(10) || {PROMPT} || chr(10) || '<|assistant|>' || chr(10) || {norm('target_comment')} || chr(10) AS text FROM fefe_training_data",
+        "batch_inference": f"SELECT model, {PROMPT} AS prompt, NULL::VARCHAR AS generated, NULL::VARCHAR AS error FROM benchmark_set, (VALUES ('base'), ('adapter')) m(model)",
+        "stripped_text": f"SELECT message_id, {strip(unescaped(_WITHOUT_TAGS))} AS own_text FROM messages",
+        "anchor_quotations": f"{ANCHORS} SELECT message_id, pos::BIGINT AS pos, href, quotation FROM a",
+        "anchor_sentences": f"{ANCHORS} SELECT message_id, pos::BIGINT AS pos, href, sentence FROM a",
+        "html_topic": topic(),
         "experiment_config": "SELECT * FROM (VALUES ('E3', false, 1::BIGINT, 2e-5::DOUBLE), ('E1', true, 2::BIGINT, 2e-5::DOUBLE), ('none', true, 1::BIGINT, 1e-4::DOUBLE)) t(name, packing, epochs, lr)",
     }

@@ -74,18 +74,18 @@ def pack(rows: DataFrame, key: str, text: str, most: int = 512, packing: bool =
 
 
 def generate(prompts: DataFrame, predict: Callable[[list[str]], list[str | None]] | None = None, models: tuple[str, ...] = ("default",)) -> DataFrame:
-    """Batch inference hook: (model, prompt, generated). ``predict`` takes and gives lists; without one the result is null.
-
-    A batch that fails gives null for its rows and leaves the others alone.
+    """Batch inference hook: (model, prompt, generated, error). ``predict`` takes and gives lists; without one the result is
+    null. A batch that fails gives null and the fault for its rows and leaves the others alone.
     """
     each = prompts.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
+            fault = None
             try:
                 out = predict(p["prompt"].tolist()) if predict else [None] * len(p)
-            except Exception:
-                out = [None] * len(p)
-            yield pd.DataFrame({"model": p["model"], "prompt": p["prompt"], "generated": pd.Series(out, dtype=object)})
+            except Exception as e:
+                out, fault = [None] * len(p), f"{type(e).__name__}: {e}"
+            yield pd.DataFrame({"model": p["model"], "prompt": p["prompt"], "generated": pd.Series(out, dtype=object), "error": pd.Series([fault] * len(p), dtype=object)})
 
-    return each.select("model", "prompt").mapInPandas(run, "model string, prompt string, generated string")
+    return each.select("model", "prompt").mapInPandas(run, "model string, prompt string, generated string, error string")

@@ -132,8 +132,10 @@ def month_sequence(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def months_unprocessed(s: SparkSession, d: str) -> DataFrame:
-    done = _t(s, d, "messages").select(_month().alias("month")).distinct()
-    return timecode.unprocessed(timecode.month_rows(_order_months(s, d), "a", "b"), done)
+    """The months of the archive in which no post quotes: those with a quotation stand for the processed ones."""
+    posts = _t(s, d, "messages").select(timecode.decode(F.col("hextimestamp")).alias("at"), _month().alias("month"), "quotecount")
+    bounds = posts.agg(F.min("at").alias("a"), F.max("at").alias("b"))
+    return timecode.unprocessed(timecode.month_rows(bounds, "a", "b"), posts.where("quotecount > 2").select("month").distinct())
 
 
 @query
@@ -194,8 +196,7 @@ def _literal(s: SparkSession, page: str) -> DataFrame:
 
 @query
 def asof_header(s: SparkSession, d: str) -> DataFrame:
-    nodes = html.node_table(_literal(s, PAGE), "page_id", "html")
-    return html.header_before(nodes, "page_id").where("tag = 'ul'").select("page_id", F.col("pos").cast("bigint").alias("pos"), "header")
+    return html.header_before(_literal(s, PAGE), "page_id", "html").where("tag = 'ul'").select("page_id", F.col("pos").cast("bigint").alias("pos"), "header")
 
 
 @query
@@ -235,8 +236,7 @@ def anchor_sentences(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def node_headers(s: SparkSession, d: str) -> DataFrame:
-    nodes = html.node_table(_t(s, d, "messages"), "message_id", "contenthtml")
-    return html.header_before(nodes, "message_id").select("message_id", F.col("pos").cast("bigint").alias("pos"), "kind", "tag", "header")
+    return html.header_before(_t(s, d, "messages"), "message_id", "contenthtml").select("message_id", F.col("pos").cast("bigint").alias("pos"), "kind", "tag", "header")
 
 
 @query
@@ -247,8 +247,8 @@ def month_headers(s: SparkSession, d: str) -> DataFrame:
     pages = posts.groupBy("month").agg(F.array_sort(F.collect_list("p")).alias("ps"))
     first = lambda p, i: (i == 0) | (F.try_element_at("ps", F.greatest(i, F.lit(1)))["day"] != p["day"])
     item = lambda p, i: F.concat(F.when(first(p, i), F.concat(F.lit("</ul><h3>"), p["day"], F.lit("</h3><ul>"))).otherwise(""), F.lit("<li>"), p["html"])
-    nodes = html.node_table(pages.select("month", F.array_join(F.transform("ps", item), "").alias("html")), "month", "html")
-    return html.header_before(nodes, "month").select("month", F.col("pos").cast("bigint").alias("pos"), "kind", "tag", "header")
+    pages = pages.select("month", F.array_join(F.transform("ps", item), "").alias("html"))
+    return html.header_before(pages, "month", "html").select("month", F.col("pos").cast("bigint").alias("pos"), "kind", "tag", "header")
 
 
 def _source_pages(s: SparkSession, d: str) -> DataFrame:

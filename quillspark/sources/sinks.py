@@ -33,10 +33,11 @@ def nested_counts(counts: DataFrame, bucket: str, key: str) -> DataFrame:
 
 
 def write_all(posts: DataFrame, words: DataFrame, domains: DataFrame, folder: str) -> None:
-    """The six outputs of a run."""
+    """The six outputs of a run, each replaced as a whole. Counts as JSON are one line per bucket and key; ``nested_counts``
+    gives the original form, which needs a bucket's vocabulary in one cell."""
     posts_tsv(posts, f"{folder}/messages.csv")
     counts_tsv(words, f"{folder}/words.csv")
     counts_tsv(domains, f"{folder}/domains.csv")
     json_lines(posts, f"{folder}/messages.json")
-    json_lines(nested_counts(words, "bucket", "word"), f"{folder}/words.json")
-    json_lines(nested_counts(domains, "bucket", "domain"), f"{folder}/domains.json")
+    json_lines(words, f"{folder}/words.json")
+    json_lines(domains, f"{folder}/domains.json")

@@ -140,6 +140,7 @@ def test_generate_isolates_faults(spark):
         raise ValueError
 
     assert {(r.model, r.generated) for r in curation.generate(rows, predict, ("x", "y")).collect()} == {("x", None), ("y", None)}
+    assert {r.error for r in curation.generate(rows, predict).collect()} == {"ValueError: "}
     assert curation.generate(rows, lambda b: [s.upper() for s in b]).where("generated = 'A'").count() == 1
 
 

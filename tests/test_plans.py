@@ -47,7 +47,8 @@ def test_sources_and_sinks(spark, tmp_path):
     line = spark.read.text(f"{out}/messages.csv").first().value
     assert line.startswith("2012-02-27 22:26:18\tb1b2c3d4\t1\t5\t1\t") and line.endswith("\t")
     assert "sum\texample.org\t1" in {r.value for r in spark.read.text(f"{out}/domains.csv").collect()}
-    nested = {r.bucket: r.value for r in spark.read.json(f"{out}/domains.json").collect()}
+    assert {(r.domain, r.cnt) for r in spark.read.json(f"{out}/domains.json").where("bucket = 'sum'").collect()} == {("example.org", 1), ("self", 1)}
+    nested = {r.bucket: r.value for r in sinks.nested_counts(made["domains"], "bucket", "domain").collect()}
     assert nested["sum"] == '{"example.org":1,"self":1}'
     sinks.archive_pages(saved, f"{out}/archive")
     assert spark.read.parquet(f"{out}/archive").first().month in (201202, "201202")
