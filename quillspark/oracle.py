@@ -98,11 +98,13 @@ def prefixed(c: str, language: str) -> str:
     return f"CASE WHEN {language} <> 'de' THEN concat_ws(' ', '[Quelle: ' || upper({language}) || ']', nullif({c}, '')) ELSE {c} END"
 
 
-JUDGED = f"""WITH a AS (SELECT row_id, coalesce(topic, '') AS topic, {BARE} AS bare, {norm('target_comment')} AS comment, coalesce(topic_source, 'unknown') AS topic_source FROM fefe_training_data),
-l AS (SELECT *, CASE WHEN length(topic) >= 40 THEN topic ELSE concat_ws(' ', topic, bare) END AS sample FROM a),
+def judged(rows: str) -> str:
+    """The chain from a (topic, bare context, comment) to j (context, points, quality_bucket, status)."""
+    return f"""{rows}, l AS (SELECT *, CASE WHEN length(topic) >= 40 THEN topic ELSE concat_ws(' ', topic, bare) END AS sample FROM a),
 m AS (SELECT *, {lang('sample')} AS lang FROM l), n AS (SELECT *, {prefixed('bare', 'lang')} AS context FROM m), p AS (SELECT *, {points('topic', 'context')} AS points FROM n),
 b AS (SELECT *, {bucket('points')} AS quality_bucket, {strip('topic')} AS stripped FROM p),
 j AS (SELECT *, CASE WHEN length(comment) < 30 THEN 'short_comment' WHEN topic = '' THEN 'no_topic' ELSE coalesce({reason('stripped')}, CASE WHEN quality_bucket = 'drop' THEN 'quality_drop' END, 'kept') END AS status FROM b)"""
+JUDGED = judged(f"WITH a AS (SELECT row_id, coalesce(topic, '') AS topic, {BARE} AS bare, {norm('target_comment')} AS comment, coalesce(topic_source, 'unknown') AS topic_source FROM fefe_training_data)")
 COIN = "('0x' || substr(md5('42:' || row_id), 1, 8))::BIGINT"
 UNIQUE = "SELECT * FROM fefe_training_data QUALIFY row_number() OVER (PARTITION BY coalesce(post_id, 'row ' || row_id) ORDER BY row_id) = 1"
 FOREIGN = "(coalesce(context, '') LIKE '[Quelle:%' AND coalesce(context, '') NOT LIKE '[Quelle: DE]%')"
@@ -136,21 +138,38 @@ _ENDED = "lambda s, t: CASE WHEN s <> '' AND (regexp_matches(s, '[.!?]$') OR len
 ANCHORS = f"""WITH t AS (SELECT message_id, list_filter(string_split(regexp_replace(contenthtml, '(</?[a-zA-Z][^<>]*>)', chr(1) || '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS t FROM messages),
 i AS (SELECT message_id, t, unnest(list_filter(range(1, len(t) + 1), lambda i: regexp_matches(t[i], {_LINK}))) AS i FROM t),
 r AS (SELECT *, t[i + 1:] AS r, len(list_filter(t[:i], lambda x: NOT starts_with(x, '</'))) - 1 AS pos FROM i),
-e AS (SELECT *, list_filter(r, lambda x: NOT starts_with(x, '</')) AS nodes, coalesce(list_position(r, '</a>'), len(r) + 1) AS j, coalesce(nullif(list_position(list_transform(r, lambda x: starts_with(x, '<blockquote')), true), 0), 1000000) AS k FROM r),
-q AS (SELECT *, k <= len(r) AND len(list_filter(r[:k], lambda x: NOT starts_with(x, '</'))) <= 20 AS near FROM e),
-a AS (SELECT message_id, pos, regexp_extract(t[i], 'href="([^"]*)"', 1) AS href, array_to_string({texts('r[:j - 1]')}, ' ') AS body,
+after_it AS (SELECT *, list_filter(r, lambda x: NOT starts_with(x, '</')) AS nodes, coalesce(list_position(r, '</a>'), len(r) + 1) AS j, coalesce(nullif(list_position(list_transform(r, lambda x: starts_with(x, '<blockquote')), true), 0), 1000000) AS k FROM r),
+q AS (SELECT *, k <= len(r) AND len(list_filter(r[:k], lambda x: NOT starts_with(x, '</'))) <= 20 AS near FROM after_it),
+anchors AS (SELECT message_id, pos, regexp_extract(t[i], 'href="([^"]*)"', 1) AS href, array_to_string({texts('r[:j - 1]')}, ' ') AS body,
     CASE WHEN near THEN left(array_to_string({texts("r[k + 1:k + coalesce(nullif(list_position(r[k + 1:], '</blockquote>'), 0), 1000000) - 1]")}, ' '), 140) ELSE '' END AS quotation,
     left(list_reduce(list_prepend('', {texts('nodes[:60]')}), {_ENDED}), 140) AS sentence FROM q)"""
 
 
-def topic() -> str:
-    """The topic rules over the first two links of each message, without a linked page."""
+def topic_steps() -> str:
+    """The topic rules over the first two links of each message: topics holds those with links, with the flag maps."""
     deictic = like("body", whole_words(DEICTIC_WORDS))
-    return f"""{ANCHORS}, n AS (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY pos) AS n, coalesce(lead(body) OVER (PARTITION BY message_id ORDER BY pos), '') AS second FROM a),
-        s AS (SELECT *, CASE WHEN {deictic} AND length(sentence) >= 20 THEN body || ' ' || sentence WHEN {deictic} AND length(second) >= 20 THEN body || ' (' || second || ')' WHEN length(quotation) >= 20 THEN body || ': ' || quotation ELSE body END AS topic,
-            CASE WHEN {deictic} AND (length(sentence) >= 20 OR length(second) >= 20) THEN 'html_text' WHEN length(quotation) >= 20 THEN 'html_anchor+blockquote' ELSE 'html_anchor' END AS source FROM n WHERE n = 1),
-        m AS (SELECT *, {like("href", MAPS_URL)} AND ({like("topic", MAPS_BOILER)} OR length(topic) < 40) AND length(sentence) >= 20 AS maps FROM s)
-        SELECT message_id, coalesce({strip("left(CASE WHEN maps THEN sentence ELSE topic END, 180)")}, '') AS topic, '' AS context, CASE WHEN maps THEN 'html_text' ELSE coalesce(source, 'none') END AS topic_source FROM messages LEFT JOIN m USING (message_id)"""
+    return f"""{ANCHORS}, firsts AS (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY pos) AS n, coalesce(lead(body) OVER (PARTITION BY message_id ORDER BY pos), '') AS second FROM anchors),
+        steps AS (SELECT *, CASE WHEN {deictic} AND length(sentence) >= 20 THEN body || ' ' || sentence WHEN {deictic} AND length(second) >= 20 THEN body || ' (' || second || ')' WHEN length(quotation) >= 20 THEN body || ': ' || quotation ELSE body END AS topic,
+            CASE WHEN {deictic} AND (length(sentence) >= 20 OR length(second) >= 20) THEN 'html_text' WHEN length(quotation) >= 20 THEN 'html_anchor+blockquote' ELSE 'html_anchor' END AS source FROM firsts WHERE n = 1),
+        topics AS (SELECT *, {like("href", MAPS_URL)} AND ({like("topic", MAPS_BOILER)} OR length(topic) < 40) AND length(sentence) >= 20 AS maps FROM steps)"""
+
+
+LINK_TOPIC = strip("left(CASE WHEN maps THEN sentence ELSE topic END, 180)")
+
+
+def curated_posts() -> str:
+    """Posts with the best linked page, judged."""
+    first = "row_number() OVER (PARTITION BY hextimestamp ORDER BY source_pos NULLS FIRST, source_id) = 1"
+    joined = f"trim({norm('pages.title')} || ' | ' || left(split_part({norm('pages.description')}, '.', 1), 160), ' |')"
+    made = f"""{topic_steps()}, posts AS (SELECT * FROM messages QUALIFY row_number() OVER (PARTITION BY hextimestamp ORDER BY scraped_at NULLS FIRST, message_id) = 1),
+        urls AS (SELECT hextimestamp, url FROM externalsources QUALIFY {first}), pages AS (SELECT * FROM externalsources WHERE {norm('title')} <> '' OR {norm('description')} <> '' QUALIFY {first}),
+        joined_posts AS (SELECT posts.hextimestamp AS post_id, posts.url AS post_url, posts.posted_at, {norm('posts.content')} AS comment, {norm('urls.url')} AS url, topics.message_id IS NOT NULL AS linked, topics.source, topics.maps, {LINK_TOPIC} AS link_topic,
+            {norm('pages.title')} AS title, {norm('pages.description')} AS description, {joined} AS joined
+            FROM posts LEFT JOIN topics USING (message_id) LEFT JOIN urls ON posts.hextimestamp = urls.hextimestamp LEFT JOIN pages ON posts.hextimestamp = pages.hextimestamp),
+        a AS (SELECT *, CASE WHEN linked THEN link_topic WHEN length(title) >= 18 THEN left(title, 180) WHEN length(description) >= 18 THEN left(split_part(description, '.', 1), 180) ELSE '' END AS topic,
+            CASE WHEN linked THEN CASE WHEN description <> '' THEN joined ELSE title END WHEN length(title) >= 18 THEN left(description, 160) ELSE '' END AS bare,
+            CASE WHEN linked THEN CASE WHEN maps THEN 'html_text' ELSE source END WHEN length(title) >= 18 THEN 'external_title' WHEN length(description) >= 18 THEN 'external_desc' ELSE 'none' END AS topic_source FROM joined_posts)"""
+    return f"{judged(made)} SELECT topic, context, url, comment AS target_comment, posted_at, post_url, post_id, topic_source, round(points / 100, 3)::DOUBLE AS quality_score, quality_bucket FROM j WHERE status = 'kept'"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -218,8 +237,9 @@ def oracle_sql() -> dict[str, str]:
         "chat_text": f"SELECT row_id, '<|system|>' || chr(10) || {q(SYSTEM)} || chr(10) || '<|user|>' || chr(10) || {PROMPT} || chr(10) || '<|assistant|>' || chr(10) || {norm('target_comment')} || chr(10) AS text FROM fefe_training_data",
         "batch_inference": f"SELECT model, {PROMPT} AS prompt, NULL::VARCHAR AS generated, NULL::VARCHAR AS error FROM benchmark_set, (VALUES ('base'), ('adapter')) m(model)",
         "stripped_text": f"SELECT message_id, {strip(unescaped(_WITHOUT_TAGS))} AS own_text FROM messages",
-        "anchor_quotations": f"{ANCHORS} SELECT message_id, pos::BIGINT AS pos, href, quotation FROM a",
-        "anchor_sentences": f"{ANCHORS} SELECT message_id, pos::BIGINT AS pos, href, sentence FROM a",
-        "html_topic": topic(),
+        "anchor_quotations": f"{ANCHORS} SELECT message_id, pos::BIGINT AS pos, href, quotation FROM anchors",
+        "anchor_sentences": f"{ANCHORS} SELECT message_id, pos::BIGINT AS pos, href, sentence FROM anchors",
+        "html_topic": f"{topic_steps()} SELECT message_id, coalesce({LINK_TOPIC}, '') AS topic, '' AS context, CASE WHEN maps THEN 'html_text' ELSE coalesce(source, 'none') END AS topic_source FROM messages LEFT JOIN topics USING (message_id)",
+        "curated_posts": curated_posts(),
         "experiment_config": "SELECT * FROM (VALUES ('E3', false, 1::BIGINT, 2e-5::DOUBLE), ('E1', true, 2::BIGINT, 2e-5::DOUBLE), ('none', true, 1::BIGINT, 1e-4::DOUBLE)) t(name, packing, epochs, lr)",
     }
