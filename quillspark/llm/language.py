@@ -25,7 +25,7 @@ LANGUAGES = ("de", "en", "fr", "es", "it", "nl")
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bound of the sample: labelled texts for each language, those of the smallest key hashes.
 SAMPLE = 500
-#: Bound of a sample text, in characters. Texts that are judged, and all words, are read whole.
+#: Longest text taken into the sample, in characters. No text is cut.
 MOST_CHARACTERS = 5000
 #: Rounds of expectation-maximisation, added count of every piece, least words and posterior of a voting segment.
 ROUNDS, ADDED, LEAST_WORDS, LEAST_POSTERIOR = 2, 0.05, 4, 0.95
@@ -36,7 +36,8 @@ _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _BREAK = re.compile(r"(?:(?<=[.!?…])|(?<=[.!?…][\"”“’»)]))\s+|\s*\n+\s*|\s+(?:[|/•·]|--|//|–|—)\s+")
 _FOREIGN = re.compile("[^a-zß-öø-ÿœ'’]")
 _ODD = re.compile("[^\x00-\x7fäöüßÄÖÜéèêëàâáîïíìôóòùûúñçÉÀÈ¿–—‘’“”„€…]|&#?\\w+;")
-_QUOTED = re.compile(r"(?:motto|slogan|claim|titel|title)\s*:?\s*[\"„“«][^\"“”»]{1,60}[\"“”»]\.?", re.I)
+#: Quotations that end no sentence, or hold few words: names and slogans, which do not speak the language of the text.
+_QUOTED = re.compile(r"[\"„“«][^\"„“”«»\n.!?]{1,60}[\"“”»]")
 
 
 class PieceModel:
@@ -175,11 +176,12 @@ def _expected(word: str, prob: dict[str, float], least: float, pieces: frozenset
 
 
 def sample_texts(labelled: DataFrame, key: str, text: str, lang: str, size: int = SAMPLE) -> dict[str, list[str]]:
-    """At most ``size`` texts for each language, those of the smallest hash of the key; what is read here is bounded."""
-    rows = labelled.select(F.col(key).alias("k"), F.lower(F.substring(F.trim(lang), 1, 2)).alias("l"), F.col(text).alias("t")).where(F.col("l").isin(*LANGUAGES) & F.col("t").isNotNull())
+    """At most ``size`` texts of at most MOST_CHARACTERS for each language, those of the smallest hash of the key; what is
+    read here is bounded."""
+    rows = labelled.select(F.col(key).alias("k"), F.lower(F.substring(F.trim(lang), 1, 2)).alias("l"), F.col(text).alias("t")).where(F.col("l").isin(*LANGUAGES) & (F.length("t") <= MOST_CHARACTERS))
     order = Window.partitionBy("l").orderBy(F.xxhash64("k"), "k")  # a group limit: each task passes on at most ``size`` keys
     chosen = rows.select("k", "l").withColumn("n", F.row_number().over(order)).where(F.col("n") <= size).select("k", "l")
-    found = rows.join(F.broadcast(chosen), ["k", "l"], "left_semi").select("l", F.substring("t", 1, MOST_CHARACTERS).alias("t")).collect()
+    found = rows.join(F.broadcast(chosen), ["k", "l"], "left_semi").select("l", "t").collect()
     out: dict[str, list[str]] = {one: [] for one in LANGUAGES}
     for r in sorted(found):
         out[r.l].append(r.t)

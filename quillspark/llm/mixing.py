@@ -42,9 +42,14 @@ def clean_source(source: Column) -> Column:
     return F.lower(F.trim(source))
 
 
-def letter_share(text: Column) -> Column:
-    """A cheap quality weight: the share of letters and blanks in a text, at least 0.01."""
-    return F.greatest(F.lit(0.01), 1 - F.length(F.regexp_replace(text, "[\\p{L}\\s]", "")) / F.greatest(F.length(text), F.lit(1)))
+def text_quality(text: Column) -> Column:
+    """The default quality weight, from 0.01 to 1: the share of letters and blanks, times the share of characters in lines
+    that end like a sentence (a quarter of the weight is left without any), times the variety of the words, which is their
+    number of different ones over the power 0.75 of their number, at most 1. Null for null."""
+    letters = 1 - F.length(F.regexp_replace(text, "[\\p{L}\\s]", "")) / F.greatest(F.length(text), F.lit(1))
+    ended = F.aggregate(F.split(text, "\n+"), F.lit(0), lambda n, line: n + F.when(line.rlike("[.!?\u2026][\"\u201c\u201d\u00bb)\\s]*$"), F.length(line)).otherwise(0))
+    words = F.transform(F.array(F.split(F.lower(text), "[^\\p{L}\\p{N}]+")), lambda w: F.size(F.array_distinct(w)) / F.pow(F.greatest(F.size(w), F.lit(1)), F.lit(0.75)))[0]
+    return F.greatest(F.lit(0.01), letters * (0.25 + 0.75 * F.least(F.lit(1.0), ended / F.greatest(F.length(text), F.lit(1)))) * F.least(F.lit(1.0), words))
 
 
 def sampling_key(key: Column, weight: Column, seed: int) -> Column:
@@ -75,10 +80,10 @@ def mix(docs: DataFrame, key: str, text: str, source: str, targets: DataFrame, t
     source and one row per other source of ``docs`` (target 0): source, target_share, max_repeats, have, chosen_tokens,
     actual_share, most_copies. A source falls short of its budget by less than its next document. Documents with a null
     source, or one that is no target, are never chosen; null and empty texts hold no tokens and are never chosen; a null
-    or non-positive weight counts as 0.01; repeated keys are separate documents of the same sampling key. A target whose
+    or non-positive weight counts as 0.01; ``weight`` is a column of ``docs``, without it ``text_quality``; repeated keys are separate documents of the same sampling key. A target whose
     source has no documents makes the default size zero; give ``total_tokens`` then.
     """
-    w = letter_share(F.col(text)) if weight is None else F.coalesce(F.greatest(weight.cast("double"), F.lit(0.01)), F.lit(0.01))
+    w = text_quality(F.col(text)) if weight is None else F.coalesce(F.greatest(weight.cast("double"), F.lit(0.01)), F.lit(0.01))
     named = docs.select(F.col(key).alias("k"), clean_source(F.col(source)).alias("source"), w.alias("weight"), F.col(text).alias("t"))
     sized = cut_lineage(with_tokens(named.withColumn("weight", F.coalesce("weight", F.lit(0.01))), "k", "t", ["source", "weight"], tokenizer))
     budgets = cut_lineage(_budgets(sized, targets, total_tokens))

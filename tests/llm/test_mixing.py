@@ -3,7 +3,9 @@ import os
 
 import pytest
 
-from quillspark.llm.mixing import TOKENIZER, mix
+from pyspark.sql import functions as F
+
+from quillspark.llm.mixing import TOKENIZER, mix, text_quality
 
 pytestmark = pytest.mark.skipif(not os.path.exists(TOKENIZER), reason="no vocabulary")
 
@@ -44,3 +46,10 @@ def test_empty(spark):
     d, t = tables(spark, [(1, "a", "b")], [])
     chosen, report = mix(d, "id", "text", "source", t)
     assert chosen.count() == 0 and [r.source for r in report.collect()] == ["a"]
+
+
+def test_quality_weight(spark):
+    prose = "Der Rat stimmte gestern mit knapper Mehrheit zu. Die Kosten steigen auf zwei Millionen Euro."
+    texts = [prose, "Kaufen Kaufen Kaufen Kaufen Kaufen Kaufen Kaufen Kaufen", "1234 | 5678 | 91011 | 1213", "Der Rat stimmte gestern mit knapper Mehrheit zu und", "", None]
+    got = [r.w for r in spark.createDataFrame([(t,) for t in texts], "t string").select(text_quality(F.col("t")).alias("w")).collect()]
+    assert got[0] > 0.8 and got[0] > got[3] > got[1] > 0 and got[0] > got[2] and got[4] == 0.01 and got[5] is None
