@@ -45,7 +45,7 @@ def clean_source(source: Column) -> Column:
 def text_quality(text: Column) -> Column:
     """The default quality weight, from 0.01 to 1: the share of letters and blanks, times the share of characters in lines
     that end like a sentence (a quarter of the weight is left without any), times the variety of the words, which is their
-    number of different ones over the power 0.75 of their number, at most 1. Null for null."""
+    number of different ones over the power 0.75 of their number, at most 1. Null counts as 0.01."""
     letters = 1 - F.length(F.regexp_replace(text, "[\\p{L}\\s]", "")) / F.greatest(F.length(text), F.lit(1))
     ended = F.aggregate(F.split(text, "\n+"), F.lit(0), lambda n, line: n + F.when(line.rlike("[.!?\u2026][\"\u201c\u201d\u00bb)\\s]*$"), F.length(line)).otherwise(0))
     words = F.transform(F.array(F.split(F.lower(text), "[^\\p{L}\\p{N}]+")), lambda w: F.size(F.array_distinct(w)) / F.pow(F.greatest(F.size(w), F.lit(1)), F.lit(0.75)))[0]

@@ -52,4 +52,4 @@ def test_quality_weight(spark):
     prose = "Der Rat stimmte gestern mit knapper Mehrheit zu. Die Kosten steigen auf zwei Millionen Euro."
     texts = [prose, "Kaufen Kaufen Kaufen Kaufen Kaufen Kaufen Kaufen Kaufen", "1234 | 5678 | 91011 | 1213", "Der Rat stimmte gestern mit knapper Mehrheit zu und", "", None]
     got = [r.w for r in spark.createDataFrame([(t,) for t in texts], "t string").select(text_quality(F.col("t")).alias("w")).collect()]
-    assert got[0] > 0.8 and got[0] > got[3] > got[1] > 0 and got[0] > got[2] and got[4] == 0.01 and got[5] is None
+    assert got[0] > 0.8 and got[0] > got[3] > got[1] > 0 and got[0] > got[2] and got[5] == 0.01 and min(got) >= 0.01
