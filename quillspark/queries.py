@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import language, links, prompt, text, timecode
 from quillspark.operators import audit, counts, curate, html, sampling
-from quillspark.plans import curation
+from quillspark.plans import curation, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -239,16 +239,20 @@ def node_headers(s: SparkSession, d: str) -> DataFrame:
     return html.header_before(_t(s, d, "messages"), "message_id", "contenthtml").select("message_id", F.col("pos").cast("bigint").alias("pos"), "kind", "tag", "header")
 
 
-@query
-def month_headers(s: SparkSession, d: str) -> DataFrame:
-    """The same over month pages, made of the messages under a header for each day; single messages hold no such header."""
+def _month_pages(s: SparkSession, d: str) -> DataFrame:
+    """(month, html): month pages, made of the messages under a header for each day."""
     day = F.coalesce(F.substring(timecode.decode(F.col("hextimestamp")), 1, 10), F.lit("undated"))
     posts = _t(s, d, "messages").select(_month().alias("month"), F.struct(day.alias("day"), "message_id", F.coalesce("contenthtml", F.lit("")).alias("html")).alias("p"))
     pages = posts.groupBy("month").agg(F.array_sort(F.collect_list("p")).alias("ps"))
     first = lambda p, i: (i == 0) | (F.try_element_at("ps", F.greatest(i, F.lit(1)))["day"] != p["day"])
     item = lambda p, i: F.concat(F.when(first(p, i), F.concat(F.lit("</ul><h3>"), p["day"], F.lit("</h3><ul>"))).otherwise(""), F.lit("<li>"), p["html"])
-    pages = pages.select("month", F.array_join(F.transform("ps", item), "").alias("html"))
-    return html.header_before(pages, "month", "html").select("month", F.col("pos").cast("bigint").alias("pos"), "kind", "tag", "header")
+    return pages.select("month", F.array_join(F.transform("ps", item), "").alias("html"))
+
+
+@query
+def month_headers(s: SparkSession, d: str) -> DataFrame:
+    """The headers over month pages; single messages hold none."""
+    return html.header_before(_month_pages(s, d), "month", "html").select("month", F.col("pos").cast("bigint").alias("pos"), "kind", "tag", "header")
 
 
 def _source_pages(s: SparkSession, d: str) -> DataFrame:
@@ -267,6 +271,26 @@ def page_metadata(s: SparkSession, d: str) -> DataFrame:
     return pages.select("source_id", html.page_metadata(F.col("n"), F.col("url")).alias("m")).select("source_id", "m.*")
 
 
+def _ingested(s: SparkSession, d: str, name: str) -> DataFrame:
+    return ingest.aggregate(_month_pages(s, d))[name]
+
+
+@query
+def ingested_posts(s: SparkSession, d: str) -> DataFrame:
+    """Month pages to posts: repaired, split into items, parsed, decoded, one row per post."""
+    return _ingested(s, d, "posts").select("month", "timestamp", "hexTimestamp", "quoteCount", "wordCount", "sourcesCount", "url", "content")
+
+
+@query
+def ingested_words(s: SparkSession, d: str) -> DataFrame:
+    return _ingested(s, d, "words")
+
+
+@query
+def ingested_domains(s: SparkSession, d: str) -> DataFrame:
+    return _ingested(s, d, "domains")
+
+
 @query
 def html_topic(s: SparkSession, d: str) -> DataFrame:
     none = F.lit(None).cast("string")

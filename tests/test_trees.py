@@ -78,3 +78,24 @@ def test_metadata_of_every_page(spark, small):
     fields = ["source_id", "title", "description", "author", "published", "site_name", "url"]
     want = spark.read.parquet(f"{small}/externalsources.parquet").select(fields).collect()
     assert sorted(map(tuple, queries.QUERIES["page_metadata"](spark, small).collect())) == sorted((*(v.strip() if isinstance(v, str) and k != 6 else v for k, v in enumerate(r)),) for r in want)
+
+
+def test_ingestion_of_month_pages(spark):
+    from quillspark.queries import QUERIES
+
+    d = "/root/testdata/sf0.001"
+    messages = spark.read.parquet(f"{d}/messages.parquet").collect()
+    posts = QUERIES["ingested_posts"](spark, d).collect()
+    assert {p.hexTimestamp for p in posts} == {m.hextimestamp for m in messages} and len(posts) == len({m.hextimestamp for m in messages})
+    # a post without a list of its own is one item, so its page gives back what the archive knows of it
+    one = {m.hextimestamp: m for m in messages if m.contenthtml.count("<li") == 1 and "<ul" not in m.contenthtml}
+    by = {p.hexTimestamp: p for p in posts}
+    seen = [(by[k].quoteCount == m.contenthtml.count("<blockquote"), by[k].url.endswith("?ts=" + k)) for k, m in one.items()]
+    assert len(seen) > 50 and all(a and b for a, b in seen)
+    for name, key in (("ingested_words", "word"), ("ingested_domains", "domain")):
+        rows = QUERIES[name](spark, d).collect()
+        total, parts = {r[key]: r.cnt for r in rows if r.bucket == "sum"}, {}
+        for r in rows:
+            if r.bucket != "sum":
+                parts[r[key]] = parts.get(r[key], 0) + r.cnt
+        assert total == parts and total
