@@ -12,10 +12,12 @@ from __future__ import annotations
 
 import html
 import json
+import math
 import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -60,8 +62,11 @@ def tokens(page: str) -> list[tuple[str, str]]:
 SLOT = "#"
 #: Distinct pages of a host from which its constant texts are taken for its template.
 LEAST_PAGES = 10
-#: Items from which a wrapper is not extended; pages that it does not match are searched as a whole.
-LONGEST = 400
+#: Memory only, no rows: items of all wrappers that a task holds before it hands them to the merge, bytes of steps that a
+#: wrapper remembers before it works them out anew, and characters of a wrapper that may stand beside every page.
+HELD = 200_000
+REMEMBERED = 2_000_000
+BESIDE = 8_000
 
 
 def stream(page: str | list[tuple[str, str]]) -> list[str]:
@@ -107,10 +112,30 @@ def _bare(item: object) -> object:
     return item[1][0] if isinstance(item, list) and item[0] == "?" and len(item[1]) == 1 else item
 
 
+def _repeating(items: list, n: int) -> int | None:
+    """The least length from ``n`` at which items repeat next to each other or go on with the group before them."""
+    codes: dict[str, int] = {}
+    ids = np.array([codes.setdefault(i if isinstance(i, str) else json.dumps(i), len(codes)) for i in items], np.int32)
+    textual = np.array([_textual(i) for i in items], bool)
+    more = set()
+    for k, i in enumerate(items):
+        if isinstance(i, list) and (group := _bare(i))[0] == "+" and items[k + 1 : k + 1 + len(group[1])] == group[1]:
+            more.add(len(group[1]))
+    for k in range(n, len(items) // 2 + 1):
+        if k in more:
+            return k
+        same = ids[:-k] == ids[k:]
+        if k == 1:
+            same &= ~textual[:-1]
+        if np.count_nonzero(same) >= k and np.diff(np.flatnonzero(~same), prepend=-1, append=len(same)).max() > k:
+            return k
+    return None
+
+
 def fold(items: list) -> list:
     """Adjacent repetitions of one or more items as a repeated group, shortest first, until none is left."""
-    n = 1
-    while n <= len(items) // 2:
+    n: int | None = 1
+    while (n := _repeating(items, n)) is not None:
         out: list = []
         i = 0
         while i < len(items):
@@ -161,6 +186,39 @@ def _optional(run: list) -> list:
     return out
 
 
+class _Scores:
+    """scores[i][j]: the best alignment of the items from i and from j. Kept is every root-th row; the rows between are
+    worked out again when the walk from the first row comes to them, so that two long pages fit into memory."""
+
+    def __init__(self, x: list[str], y: list[str], tx: list[bool], ty: list[bool]) -> None:
+        codes: dict[str, int] = {}
+        self.x = [codes.setdefault(k, len(codes)) for k in x]
+        self.y = np.array([codes.setdefault(k, len(codes)) for k in y], np.int32)
+        self.tx, self.ty = tx, np.array(ty, np.int32)
+        self.step = math.isqrt(len(x)) + 1
+        row = np.zeros(len(y) + 1, np.int32)
+        self.kept = {len(x): row}
+        for i in range(len(x) - 1, -1, -1):
+            row = self._before(i, row)
+            if i % self.step == 0:
+                self.kept[i] = row
+        self.rows: dict[int, np.ndarray] = {}
+
+    def _before(self, i: int, below: np.ndarray) -> np.ndarray:
+        same = np.where(self.y == self.x[i], 2, self.ty if self.tx[i] else 0)
+        row = np.zeros_like(below)
+        row[:-1] = np.maximum.accumulate(np.maximum(below[:-1], below[1:] + same)[::-1])[::-1]
+        return row
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        if i not in self.rows:
+            last = min(i - i % self.step + self.step, len(self.x))
+            self.rows = {last: self.kept[last]}
+            for k in range(last - 1, i - 1, -1):
+                self.rows[k] = self._before(k, self.rows[k + 1])
+        return self.rows[i]
+
+
 def align(a: list, b: list) -> list:
     """The least general wrapper of both: aligned items stay, texts that differ become slots, what one side lacks becomes an
     optional group, and adjacent repetitions become repeated groups."""
@@ -168,12 +226,7 @@ def align(a: list, b: list) -> list:
     a, b = _grouped(a, grown), _grouped(b, grown)
     x, y = [json.dumps(_bare(i)) for i in a], [json.dumps(_bare(i)) for i in b]
     tx, ty = [_textual(_bare(i)) for i in a], [_textual(_bare(i)) for i in b]
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(len(x) - 1, -1, -1):
-        row, below = best[i], best[i + 1]
-        for j in range(len(y) - 1, -1, -1):
-            same = 2 if x[i] == y[j] else 1 if tx[i] and ty[j] else 0
-            row[j] = max(below[j], row[j + 1], below[j + 1] + same if same else 0)
+    best = _Scores(x, y, tx, ty)
     out: list = []
     i = j = 0
     left: list = []
@@ -211,48 +264,159 @@ def align(a: list, b: list) -> list:
 
 def _grouped(items: list, bodies: list[list]) -> list:
     """Write what the other side knows as a repeated group as such a group, though it stands here only once."""
+    begin: dict[str, list[list]] = {}
+    for g in bodies:
+        if g not in (same := begin.setdefault(json.dumps(g[0]), [])):
+            same.append(g)
     out, i = [], 0
     while i < len(items):
-        body = next((g for g in bodies if items[i : i + len(g)] == g), None)
+        body = next((g for g in begin.get(json.dumps(items[i]), ()) if items[i : i + len(g)] == g), None) if begin else None
         out.append(["+", body] if body else items[i])
         i += len(body) if body else 1
     return out
 
 
 class Wrapper:
-    """A wrapper with its regular expression over one character for each item."""
+    """A wrapper with its automaton. A set of states is one number with a bit for each item, in order, and one for the end.
+    Where an item is behind others that may be left out, all of them are one range of bits, so that long wrappers with many
+    optional groups need no walk. What follows on a set by an item is remembered. A slot takes one or more texts, also texts that the template has elsewhere."""
 
     def __init__(self, items: list, pages: int) -> None:
         self.items = items
-        self.template = constants(items) if pages >= LEAST_PAGES else set()
-        self.symbols: dict[str, str] = {}
-        self.pattern = re.compile(self._regex(items))
-
-    def _symbol(self, item: str) -> str:
-        return self.symbols.setdefault(item, chr(0x4E00 + len(self.symbols)))
-
-    def _regex(self, items: list) -> str:
-        """Groups are atomic, so that matching stays linear."""
-        out = []
+        self.constants = constants(items)
+        self.template = self.constants if pages >= LEAST_PAGES else set()
+        self.bits: list[int] = []  # for each state the bit of the item that it takes, -1 for none
+        self.free: list[list[int]] = []  # for each state those reached without taking any
+        self.behind: list[int] = []  # for each bit the state behind its item
+        self.takers: dict[str, int] = {}
+        at = self._state()
+        self.top = {at: 0}  # the states between the items outside of groups
+        starts = [0]
+        for n, i in enumerate(items):
+            at = self._build([i], at)
+            self.top[at] = n + 1
+            starts.append(len(self.behind))
+        self.end = 1 << len(self.behind)
+        self.starts = starts + [len(self.behind) + 1]
+        self.reached: dict[int, tuple[int, int, int]] = {}
+        self.firsts = self.end  # the items that are taken first in those outside of groups
+        self.stops = [len(items)] * (len(items) + 1)  # the first item from here that cannot be left out
+        for s, n in reversed(self.top.items()):
+            if n < len(items):
+                bits, shift, to = self._reach(s)
+                self.firsts |= bits << shift
+                self.stops[n] = self.stops[n + 1] if to > n else n
+        self.start: dict = {"": self._from(0)}  # a set of states under "", and what follows on it by item
+        self.nodes: dict[int, dict] = {}
+        self.kept = 0
+
+    def _state(self) -> int:
+        self.bits.append(-1)
+        self.free.append([])
+        return len(self.bits) - 1
+
+    def _take(self, at: int, item: str, to: int) -> None:
+        self.bits[at] = len(self.behind)
+        self.takers[item] = self.takers.get(item, 0) | 1 << len(self.behind)
+        self.behind.append(to)
+
+    def _build(self, items: list, at: int) -> int:
+        """Add the states of ``items`` from the state ``at``; the state behind them."""
         for i in items:
-            if isinstance(i, str):
-                out.append(self._symbol(i))
+            end = self._state()
+            if i == SLOT:
+                inside = self._state()
+                self._take(at, i, inside)
+                self._take(inside, i, inside)
+                self.free[inside].append(end)
+            elif isinstance(i, str):
+                self._take(at, i, end)
             else:
-                out.append(f"(?>{self._regex(i[1])})" + ("?" if i[0] == "?" else "+"))
-        return "".join(out)
+                begin = self._state()
+                self.free[at].append(begin)
+                behind = self._build(i[1], begin)
+                self.free[behind].append(end)
+                if i[0] == "?":
+                    self.free[at].append(end)
+                else:
+                    self.free[behind].append(begin)
+            at = end
+        return at
+
+    def _reach(self, state: int) -> tuple[int, int, int]:
+        """What can be taken from a state before the next item outside of groups: its bits, their shift, and the number of
+        that item, -1 if it cannot be reached."""
+        to, found, seen, todo = -1, [], {state}, [state]
+        while todo:
+            s = todo.pop()
+            if s != state and s in self.top:
+                to = self.top[s]
+                continue
+            if self.bits[s] >= 0:
+                found.append(self.bits[s])
+            new = [t for t in self.free[s] if t not in seen]
+            seen.update(new)
+            todo += new
+        shift = min(found, default=0)
+        return sum(1 << f - shift for f in found), shift, to
+
+    def _from(self, n: int) -> int:
+        """The bits from the item ``n`` outside of groups."""
+        low = self.starts[n]
+        return (self.firsts >> low & (1 << self.starts[self.stops[n] + 1] - low) - 1) << low
+
+    def _next(self, states: int, item: str) -> int:
+        """The states behind an item of a page."""
+        states &= self.takers.get(item, 0) | (self.takers.get(SLOT, 0) if item[0] == "=" else 0)
+        to, done = 0, -1
+        while states:
+            bit = (states & -states).bit_length() - 1
+            states &= states - 1
+            s = self.behind[bit]
+            if (n := self.top.get(s, -1)) < 0:
+                if s not in self.reached:
+                    self.reached[s] = self._reach(s)
+                bits, shift, n = self.reached[s]
+                to |= bits << shift
+            if n > done:  # else it is in the range of one before it
+                to |= self._from(n)
+                done = self.stops[n]
+        return to
 
     def fits(self, items: list[str]) -> bool:
-        return self.pattern.fullmatch("".join([self.symbols.get(i, "!") for i in slotted(items, constants(self.items))])) is not None
+        node = self.start
+        for i in items:
+            if i[0] == "=" and i not in self.takers:
+                i = SLOT
+            if (to := node.get(i)) is None:
+                if not (states := self._next(node[""], i)):
+                    return False
+                to = self.nodes.setdefault(states, {"": states})
+                self.kept += len(self.behind) // 8 + 100
+                if self.kept > REMEMBERED:
+                    for n in (self.start, *self.nodes.values()):
+                        known = n[""]
+                        n.clear()
+                        n[""] = known
+                    self.nodes.clear()
+                    self.kept = 0
+                else:
+                    node[i] = to
+            node = to
+        return bool(node[""] & self.end)
 
 
 class Inference:
-    """The wrapper of one host, extended page by page; only pages that it does not match are aligned."""
+    """The wrapper of one host, extended page by page; only pages that it does not match are aligned. What comes out of an
+    alignment matches all that either side matches, so that in the end the wrapper matches every page."""
 
     def __init__(self) -> None:
         self.wrapper: Wrapper | None = None
         self.pages = 0
         self.seen: set[int] = set()  # hashes of distinct pages, as many as are needed
-        self.known: set[tuple[str, ...]] = set()
+
+    def size(self) -> int:
+        return len(self.wrapper.behind) if self.wrapper else 0
 
     def add(self, page: str) -> None:
         items = stream(page)
@@ -261,15 +425,8 @@ class Inference:
             self.seen.add(zlib.crc32(page.encode("utf-8", "surrogatepass")))
         if self.wrapper is None:
             self.wrapper = Wrapper(fold(items), 0)
-            return
-        form = tuple(slotted(items, constants(self.wrapper.items)))
-        if form in self.known:
-            return
-        if not self.wrapper.fits(items) and len(self.wrapper.items) < LONGEST:
-            self.wrapper = Wrapper(align(self.wrapper.items, fold(list(form))), 0)
-            self.known.clear()
-        if len(self.known) < 10_000:
-            self.known.add(form)
+        elif not self.wrapper.fits(items):
+            self.wrapper = Wrapper(align(self.wrapper.items, fold(slotted(items, self.wrapper.constants))), 0)
 
 
 def infer_wrappers(pages: DataFrame, host: Column, page: str) -> DataFrame:
@@ -281,6 +438,7 @@ def infer_wrappers(pages: DataFrame, host: Column, page: str) -> DataFrame:
 
     def infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str | None, Inference] = {}
+        held = 0
 
         def out() -> pa.RecordBatch:
             rows = [(h, json.dumps(i.wrapper.items), i.pages, sorted(i.seen)) for h, i in found.items()]
@@ -289,10 +447,14 @@ def infer_wrappers(pages: DataFrame, host: Column, page: str) -> DataFrame:
         for b in batches:
             for h, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if p:
-                    found.setdefault(h, Inference()).add(p)
-            if len(found) > 20_000:  # many hosts: what is known so far goes on to the merge
-                yield out()
-                found.clear()
+                    made = found.setdefault(h, Inference())
+                    held -= made.size()
+                    made.add(p)
+                    held += made.size()
+                if held > HELD and len(found) > 1:  # many hosts: what is known so far goes on to the merge
+                    yield out()
+                    found.clear()
+                    held = 0
         if found:
             yield out()
 
@@ -300,7 +462,7 @@ def infer_wrappers(pages: DataFrame, host: Column, page: str) -> DataFrame:
         wrapper: list | None = None
         for f in sorted(part["wrapper"], key=lambda f: (len(f), f)):
             items = json.loads(f)
-            wrapper = items if wrapper is None else align(wrapper, items) if len(wrapper) < LONGEST else wrapper
+            wrapper = items if wrapper is None else align(wrapper, items)
         seen = sorted({x for xs in part["seen"] for x in xs})[:LEAST_PAGES]
         return pd.DataFrame({"host": part["host"].iloc[:1].tolist(), "wrapper": [json.dumps(wrapper)], "pages": [int(part["pages"].sum())], "seen": [seen], "piece": [int(part["piece"].iloc[0])]})
 
@@ -493,23 +655,36 @@ def clean(text: str) -> str:
 
 def _run(batches: Iterator[pa.RecordBatch], use: str) -> Iterator[pa.RecordBatch]:
     wrappers: dict[tuple[str, int], Wrapper] = {}
+    held = 0
+    ahead: tuple[str | None, str | None, int | None] = (None, None, None)  # the last wrapper that came as a row of its own
 
     def fitting(parsed: list[tuple[str, str]] | None, wrapper: str | None, distinct: int | None) -> tuple[bool | None, set[str]]:
         """Whether the page fits the wrapper of its host, and the texts of the template, none if it does not."""
+        nonlocal held
         if not parsed or not wrapper:
             return None, set()
         if (w := wrappers.get((wrapper, distinct))) is None:
+            if held > 2 * HELD:
+                wrappers.clear()
+                held = 0
             w = wrappers[wrapper, distinct] = Wrapper(json.loads(wrapper), distinct)
+            held += len(w.behind)
         fits = w.fits(stream(parsed))
         return fits, w.template if fits else set()
 
     for b in batches:
         keys, fields, kinds, wrapped = [], [], [], []
         texts = []
-        for i, (plain, page, wrapper, distinct) in enumerate(zip(*(b.column(c).to_pylist() for c in (1, 2, 3, 4)))):
+        for i, (plain, page, wrapper, distinct, of, leads) in enumerate(zip(*(b.column(c).to_pylist() for c in range(1, 7)))):
+            if leads:
+                ahead = (of, wrapper, distinct)
+                continue
+            if of is not None and of == ahead[0]:
+                _, wrapper, distinct = ahead
             parsed = tokens(page) if page else None
             fits, template = fitting(parsed, wrapper, distinct)
             if use == "text":
+                keys.append(i)
                 texts.append(clean(to_text(parsed, template)) if page else clean(plain) if plain else None)
                 wrapped.append(fits)
                 continue
@@ -521,27 +696,31 @@ def _run(batches: Iterator[pa.RecordBatch], use: str) -> Iterator[pa.RecordBatch
                         kinds.append(kind)
                         wrapped.append(fits)
         if use == "text":
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(wrapped, pa.bool_())], names=["k", "clean_text", "fits_wrapper"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keys, pa.int64())), pa.array(texts, pa.string()), pa.array(wrapped, pa.bool_())], names=["k", "clean_text", "fits_wrapper"])
         elif keys:
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keys)), pa.array(fields, pa.string()), pa.array(kinds, pa.string()), pa.array(wrapped, pa.bool_())], names=["k", "field_name", "markup", "fits_wrapper"])
 
 
 def _with_wrappers(rows: DataFrame, key: str, plain: str, page: str, host: Column, most: int = 10_000) -> DataFrame:
+    """(k, plain, page, wrapper, distinct, of, leads): the rows with the wrapper of their host, or, where hosts are many or a
+    wrapper is too long to stand beside every page, sorted behind a row that leads with the wrapper of the host ``of``."""
     base = rows.select(F.col(key).alias("k"), F.col(plain).alias("plain"), F.col(page).alias("page"), host.alias("host"))
     wrappers = infer_wrappers(base, F.col("host"), "page").select("host", "wrapper", "distinct")
     wrappers = cut_lineage(wrappers.where("host is not null"))
-    if wrappers.limit(most + 1).count() <= most:
+    hosts, longest = wrappers.agg(F.count("*"), F.max(F.length("wrapper"))).first()
+    if hosts <= most and (longest or 0) <= BESIDE:
         joined = base.join(F.broadcast(wrappers), "host", "left")
-    else:  # too many hosts to broadcast: a salted join, since one host may hold a third of the rows
-        salted = wrappers.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(31))))
-        joined = base.withColumn("_salt", F.pmod(F.xxhash64("k"), F.lit(32)).cast("int")).join(salted, ["host", "_salt"], "left")
-    return joined.select("k", "plain", "page", "wrapper", "distinct")
+        return joined.select("k", "plain", "page", "wrapper", "distinct", F.lit(None).cast("string").alias("of"), F.lit(False).alias("leads"))
+    # salted, since one host may hold a third of the rows
+    pages = base.select("k", "plain", "page", F.lit(None).cast("string").alias("wrapper"), F.lit(None).cast("int").alias("distinct"), F.col("host").alias("of"), F.lit(False).alias("leads"), F.pmod(F.xxhash64("k"), F.lit(32)).cast("int").alias("_salt"))
+    heads = wrappers.select(*(F.lit(None).cast(base.schema[c].dataType).alias(c) for c in ("k", "plain", "page")), "wrapper", "distinct", F.col("host").alias("of"), F.lit(True).alias("leads"), F.explode(F.sequence(F.lit(0), F.lit(31))).alias("_salt"))
+    return heads.union(pages).repartition("of", "_salt").sortWithinPartitions("of", "_salt", F.desc("leads")).drop("_salt")
 
 
 def find_markup(rows: DataFrame, key: str, plain: str, page: str, host: Column) -> DataFrame:
     """(key, field_name, markup, fits_wrapper): one row for each kind of residue in the plain text and in the slots of the
-    page. fits_wrapper says whether the page matches its host's wrapper; null without page or host. In a page that does not
-    match, and on a host with fewer than LEAST_PAGES different pages, all text is searched.
+    page. fits_wrapper says whether the page matches its host's wrapper, as all pages do that it was inferred from; null
+    without page or host. On a host with fewer than LEAST_PAGES different pages all text is searched.
 
     Null and empty texts hold no residue; repeated rows are cases of their own. Empty input gives no rows.
     """

@@ -4,7 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quillspark.llm.markup import LEAST_PAGES, Inference, Wrapper, align, clean, clean_pages, constants, find_markup, fold, infer_wrappers, residue, slot_text, stream, to_text
+from quillspark.llm import markup
+from quillspark.llm.markup import LEAST_PAGES, Inference, Wrapper, align, clean, clean_pages, constants, find_markup, fold, infer_wrappers, residue, slot_text, slotted, stream, to_text
 
 
 @pytest.mark.parametrize(
@@ -101,3 +102,49 @@ def test_tables(spark):
     texts = {r.id: r.clean_text for r in clean_pages(df, "id", "plain", "page", F.col("host")).collect()}
     assert texts[1] == "b" and texts[2] is None and texts[4] == "x"
     assert find_markup(spark.createDataFrame([], schema), "id", "plain", "page", F.col("host")).count() == 0
+
+
+def _long_page(r, blocks):
+    """A page of one template with a body of ``blocks`` elements in no order."""
+    tags = ["p", "div", "li", "br", "h3", "td", "pre", "hr"]
+    body = "".join(f"<{r.choice(tags)}>" + ("".join(r.choice("abcdefgh") for _ in range(5)) if r.random() < 0.7 else "") for _ in range(blocks))
+    return f"<div>[m]{body}<footer>**Impressum** [[Start]]</footer>"
+
+
+def test_wrappers_of_any_length_are_extended():
+    r = random.Random(6)
+    for blocks, n in ((400, 12), (40, 120)):
+        pages = [_long_page(r, blocks) for _ in range(n)]
+        made = Inference()
+        for p in pages:
+            made.add(p)
+        w = Wrapper(made.wrapper.items, len(made.seen))
+        assert len(w.items) > 400 and all(w.fits(stream(p)) for p in pages) and w.template == {"=[m]", "=**Impressum** [[Start]]"}
+
+
+def test_alignment_matches_both_sides():
+    r = random.Random(7)
+    for _ in range(500):
+        names = ["p", "/p", "li", "ul", "/ul", "br", "td", "=A", "=B", "=C", "=D"][: r.randrange(3, 12)]
+        pages = [[r.choice(names) for _ in range(r.randrange(14))] for _ in range(5)]
+        wrapper = fold(pages[0])
+        for n, p in enumerate(pages):
+            wrapper = align(wrapper, fold(slotted(p, constants(wrapper))))
+            assert all(Wrapper(wrapper, 0).fits(q) for q in pages[: n + 1])
+
+
+def test_pieces_of_long_pages_merge(spark, monkeypatch):
+    r = random.Random(8)
+    rows = [(i, None, _long_page(r, 200), "h") for i in range(24)] + [(50, None, "<p>**x**", "few"), (51, "[[y]]", None, None), (52, None, "<p>{{z}}", None)]
+    df = spark.createDataFrame(rows, "id long, content string, page string, host string").repartition(5)
+    (got,) = infer_wrappers(df.where("host = 'h'"), F.col("host"), "page").collect()
+    w = Wrapper(json.loads(got.wrapper), got.distinct)
+    assert got.pages == 24 and all(w.fits(stream(p)) for _, _, p, h in rows if h == "h") and w.template == {"=[m]", "=**Impressum** [[Start]]"}
+    found, texts = [], []
+    for beside, held in ((10**9, 10**9), (0, 1)):  # beside every page, and ahead of the pages, handed on after each other host
+        monkeypatch.setattr(markup, "BESIDE", beside)
+        monkeypatch.setattr(markup, "HELD", held)
+        found.append(sorted((x.id, x.field_name, x.markup, x.fits_wrapper) for x in find_markup(df, "id", "content", "page", F.col("host")).collect()))
+        texts.append({x.id: (x.clean_text, x.fits_wrapper) for x in clean_pages(df, "id", "content", "page", F.col("host")).collect()})
+    assert found[0] == found[1] == [(50, "page", "markdown", True), (51, "content", "wiki", None), (52, "page", "wiki", None)]
+    assert texts[0] == texts[1] and len(texts[0]) == len(rows) and all("Impressum" not in texts[0][i][0] and texts[0][i][1] for i in range(24))
